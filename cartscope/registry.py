@@ -28,3 +28,7 @@ def _metric(fn) -> Query:
 
 QUERIES: dict[str, Query] = {}
 QUERIES.update({k: _metric(f) for k, f in metrics.METRICS.items()})
+
+from cartscope.plans.etl import ETL_QUERIES  # noqa: E402
+
+QUERIES.update(ETL_QUERIES)

@@ -177,6 +177,97 @@ METRIC_SQL = {
 }
 
 
+
+
+# ---- ETL round trip: expected flatten outputs of the landed dirty payload ----
+# (rules in cartscope/sources/payload_fixture.py; first matching rule wins)
+ETL_CTE = f"""
+e_orders AS (
+  SELECT order_id, user_id, order_number,
+         CAST(CASE WHEN order_id % 61 = 0 THEN order_dow + 7 ELSE order_dow END AS SMALLINT)
+           AS order_dow,
+         {DOW_CASE.format(d='CASE WHEN order_id % 61 = 0 THEN order_dow + 7 ELSE order_dow END')}
+           AS order_dow_name,
+         order_hour_of_day,
+         CASE WHEN order_id % 97 = 0 THEN NULL ELSE days_since_prior_order END
+           AS days_since_prior_order,
+         CASE WHEN order_id % 79 = 0 THEN 'prior' ELSE eval_set END AS eval_set,
+         total_items, total_reordered
+  FROM w_orders),
+e_items AS (SELECT * FROM w_items),
+r_reject AS (
+  SELECT order_id,
+         CASE WHEN (order_id // 1000) % 5 = 4 THEN 'payload is a list'
+              WHEN order_id % 67 = 0 THEN 'order_hour_of_day not an integer'
+              ELSE 'days_since_prior_order not a number' END AS reason
+  FROM w_orders
+  WHERE (order_id // 1000) % 5 = 4 OR order_id % 67 = 0 OR order_id % 97 = 0),
+r_orders AS (
+  SELECT order_id, user_id, order_number, order_dow, order_dow_name, order_hour_of_day,
+         days_since_prior_order, eval_set, total_items,
+         CAST(CASE WHEN order_id % 71 = 0 THEN 0 ELSE total_reordered END AS INTEGER)
+           AS total_reordered
+  FROM e_orders WHERE order_id NOT IN (SELECT order_id FROM r_reject)),
+r_items AS (SELECT * FROM e_items WHERE order_id NOT IN (SELECT order_id FROM r_reject)),
+e_docs AS (SELECT order_id // 1000 AS doc_id, count(*) AS n FROM w_orders GROUP BY 1)
+"""
+
+ORDERS_COLS = ("order_id, user_id, order_number, order_dow, order_dow_name, order_hour_of_day, "
+               "days_since_prior_order, eval_set, total_items, total_reordered")
+ITEMS_COLS = ("order_id, user_id, product_id, product_name, aisle_id, aisle, department_id, "
+              "department, add_to_cart_order, reordered")
+
+
+def _counts(o: str, i: str, col: str = "row_count", k: int = 1) -> str:
+    return (f"SELECT 'orders' AS table_name, CAST(count(*) * {k} AS BIGINT) AS {col} FROM {o} "
+            f"UNION ALL SELECT 'order_items' AS table_name, CAST(count(*) * {k} AS BIGINT) "
+            f"AS {col} FROM {i}")
+
+
+ETL_SQL = {
+    "read_orders_payload": "SELECT order_id, user_id, total_items AS n_products FROM w_orders",
+    "payload_summary": """SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS order_count,
+        CAST(sum(CASE WHEN doc_id % 5 = 4 OR doc_id % 7 = 3 THEN n ELSE n + doc_id % 3 END)
+             AS BIGINT) AS total_orders FROM e_docs""",
+    "read_flat_staging": f"SELECT {ITEMS_COLS} FROM e_items",
+    "land_raw": """SELECT count(DISTINCT order_id // 1000) AS documents, count(*) AS order_count,
+        CAST(sum(total_items) AS BIGINT) AS item_count FROM w_orders""",
+    "write_flat_staging": _counts("e_orders", "e_items"),
+    "load_append": _counts("e_orders", "e_items", k=2),
+    "load_snapshot": f"SELECT {ORDERS_COLS} FROM e_orders",
+    "orders_table": f"SELECT {ORDERS_COLS} FROM e_orders",
+    "order_items_table": f"SELECT {ITEMS_COLS} FROM e_items",
+    "flatten_orders": f"SELECT {ORDERS_COLS} FROM e_orders",
+    "flatten_order_items": f"SELECT {ITEMS_COLS} FROM e_items",
+    "dow_name": """SELECT order_dow, order_dow_name, count(*) AS orders FROM e_orders
+        GROUP BY order_dow, order_dow_name""",
+    "total_items": "SELECT order_id, total_items FROM e_orders",
+    "total_reordered": "SELECT order_id, total_reordered FROM e_orders",
+    "safe_int": "SELECT order_id, order_number, order_dow, order_hour_of_day FROM e_orders",
+    "safe_float": "SELECT order_id, days_since_prior_order FROM e_orders",
+    "clean_text": """SELECT order_id, product_id, add_to_cart_order, product_name, aisle,
+        department FROM e_items""",
+    "default_fields": "SELECT order_id, eval_set, total_items FROM e_orders",
+    "flatten_orders_raw": f"SELECT {ORDERS_COLS} FROM r_orders",
+    "flatten_order_items_raw": f"SELECT {ITEMS_COLS} FROM r_items",
+    "flatten_rejects": """SELECT 'raw' AS mode, 'order' AS stage, reason, order_id
+        FROM r_reject""",
+    "transform_summary": """SELECT (SELECT count(*) FROM e_orders) AS order_count,
+        (SELECT count(*) FROM e_items) AS order_item_count""",
+    "validate_counts": """SELECT 'orders' AS table_name, count(*) AS expected,
+        count(*) AS loaded, true AS ok FROM e_orders
+        UNION ALL SELECT 'order_items', count(*), count(*), true FROM e_items""",
+    "validate_nonempty": """SELECT 'orders' AS table_name, count(*) AS row_count,
+        count(*) > 0 AS ok FROM e_orders
+        UNION ALL SELECT 'order_items', count(*), count(*) > 0 FROM e_items""",
+    "table_counts": """SELECT 'orders' AS tabel, count(*) AS total FROM w_orders
+        UNION ALL SELECT 'order_items' AS tabel, count(*) AS total FROM w_items""",
+    "sample_orders": f"SELECT {ORDERS_COLS} FROM w_orders ORDER BY user_id, order_id LIMIT 5",
+    "sample_order_items": f"SELECT {ITEMS_COLS} FROM w_items ORDER BY {ITEMS_COLS} LIMIT 5",
+}
+
+
 def all_sql() -> dict[str, str]:
     out = {k: _w(v) for k, v in METRIC_SQL.items()}
+    out.update({k: f"WITH {WAREHOUSE_CTE}, {ETL_CTE}\n{v}" for k, v in ETL_SQL.items()})
     return out
