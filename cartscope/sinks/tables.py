@@ -31,25 +31,28 @@ def _files(spark: SparkSession) -> int:
 
 
 def load_table(df: DataFrame, table: str, dest: str, mode: str = "overwrite",
-               files: int | None = None) -> str:
-    """Write one flat table into ``dest/<table>`` (``append`` or ``overwrite``)."""
+               files: int | None = None, observation=None) -> str:
+    """Write one flat table into ``dest/<table>`` (``append`` or ``overwrite``).
+    ``observation`` receives the written row count as ``n`` (no second pass)."""
     if mode not in LOAD_MODES:
         raise ValueError(f"mode must be one of {LOAD_MODES}")
     path = f"{dest}/{table}"
     n = files or _files(df.sparkSession)
-    write_sorted(fill_load_defaults(df, table), path, SORT_KEYS[table], n, mode=mode)
+    write_sorted(fill_load_defaults(df, table), path, SORT_KEYS[table], n, mode=mode,
+                 observation=observation)
     return path
 
 
 def load(orders: DataFrame, items: DataFrame, dest: str, mode: str = "overwrite",
-         skip_empty: bool = False) -> dict[str, str]:
+         skip_empty: bool = False, observations: dict | None = None) -> dict[str, str]:
     """Load both tables, orders first. With ``skip_empty`` an empty input
     table is not written (the scheduled pipeline's behaviour)."""
     out = {}
+    obs = observations or {}
     for table, df in (("orders", orders), ("order_items", items)):
         if skip_empty and df.isEmpty():
             continue
-        out[table] = load_table(df, table, dest, mode)
+        out[table] = load_table(df, table, dest, mode, observation=obs.get(table))
     return out
 
 

@@ -117,15 +117,23 @@ def payload_documents(orders: DataFrame, items: DataFrame) -> DataFrame:
     return docs.select(value.alias("value"))
 
 
+_RESOLVED: dict[tuple[str, str], str] = {}
+
+
 def ensure_landing(spark: SparkSession, sf_dir: str) -> str:
     """Folder of landed JSON Lines payload documents for ``sf_dir`` (built once)."""
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo in _RESOLVED:
+        return _RESOLVED[memo]
     code = hashlib.sha1(inspect.getsource(sys.modules[__name__]).encode()).hexdigest()[:8]
     final = f"{work_root(spark)}/cartscope/landing/{warehouse_key(spark, sf_dir)}-{code}"
     if path_exists(spark, f"{final}/_SUCCESS"):
+        _RESOLVED[memo] = final
         return final
     orders, items = warehouse_tables(spark, sf_dir)
     staging = scratch_path(spark, "landing-staging")
     payload_documents(orders, items).write.mode("overwrite").text(staging)
     if not rename_path(spark, staging, final) and not path_exists(spark, f"{final}/_SUCCESS"):
         raise RuntimeError(f"could not publish landing to {final}")
+    _RESOLVED[memo] = final
     return final

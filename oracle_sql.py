@@ -267,7 +267,52 @@ ETL_SQL = {
 }
 
 
+Q5_TOP = """SELECT product_name, department, aisle, count(*) AS times_ordered,
+        CAST(sum(reordered) AS BIGINT) AS times_reordered,
+        round_even(CAST(sum(reordered) AS DOUBLE) * 100.0::DOUBLE / count(*), 1) AS reorder_rate_pct
+        FROM w_items GROUP BY product_name, department, aisle
+        ORDER BY times_ordered DESC, product_name, department, aisle LIMIT {k}"""
+
+INSIGHT_SQL = {
+    "insight_busiest_day": """, d AS (SELECT order_dow_name AS day_of_week, order_dow,
+          count(*) AS n FROM w_orders GROUP BY 1, 2),
+        b AS (SELECT day_of_week, n FROM d ORDER BY n DESC, order_dow LIMIT 1),
+        q AS (SELECT day_of_week, n FROM d ORDER BY n, order_dow LIMIT 1)
+        SELECT b.day_of_week AS busiest_day, b.n AS busiest_day_orders,
+               q.day_of_week AS quietest_day, q.n AS quietest_day_orders FROM b, q""",
+    "insight_peak_hours": """, h AS (SELECT order_hour_of_day AS hour, count(*) AS n
+          FROM w_orders GROUP BY 1),
+        r AS (SELECT hour, n, row_number() OVER (ORDER BY n DESC, hour) AS rk FROM h)
+        SELECT (SELECT hour FROM r WHERE rk = 1) AS peak_hour,
+               (SELECT n FROM r WHERE rk = 1) AS peak_hour_orders,
+               (SELECT hour FROM r WHERE rk = 2) AS second_hour,
+               (SELECT n FROM r WHERE rk = 2) AS second_hour_orders,
+               (SELECT round_even(avg(n), 2) FROM h WHERE hour <= 17) AS avg_orders_per_hour_to_17,
+               (SELECT round_even(avg(n), 2) FROM h WHERE hour > 17) AS avg_orders_per_hour_after_17""",
+    "insight_promo_slot": """, c AS (SELECT order_dow, order_dow_name, order_hour_of_day,
+          count(*) AS n FROM w_orders GROUP BY 1, 2, 3)
+        SELECT (SELECT order_dow_name FROM (SELECT order_dow, order_dow_name, sum(n) AS n FROM c
+                 GROUP BY 1, 2) ORDER BY n DESC, order_dow LIMIT 1) AS promo_day,
+               (SELECT order_hour_of_day FROM (SELECT order_hour_of_day, sum(n) AS n FROM c
+                 GROUP BY 1) ORDER BY n DESC, order_hour_of_day LIMIT 1) AS promo_hour,
+               (SELECT order_dow_name FROM c ORDER BY n DESC, order_dow, order_hour_of_day
+                 LIMIT 1) AS busiest_cell_day,
+               (SELECT order_hour_of_day FROM c ORDER BY n DESC, order_dow, order_hour_of_day
+                 LIMIT 1) AS busiest_cell_hour,
+               (SELECT max(n) FROM c) AS busiest_cell_orders""",
+    "insight_top3_products": "\n" + Q5_TOP.format(k=3),
+    "insight_keyword_share": ", t AS (" + Q5_TOP.format(k=10) + """)
+        SELECT 'rod' AS keyword,
+               CAST(sum(CASE WHEN contains(product_name, 'rod') THEN 1 ELSE 0 END) AS BIGINT)
+                 AS products_with_keyword,
+               count(*) AS top_n,
+               round_even(avg(CASE WHEN contains(product_name, 'rod') THEN 1 ELSE 0 END)
+                          * 100.0::DOUBLE, 1) AS share_pct FROM t""",
+}
+
+
 def all_sql() -> dict[str, str]:
     out = {k: _w(v) for k, v in METRIC_SQL.items()}
     out.update({k: f"WITH {WAREHOUSE_CTE}, {ETL_CTE}\n{v}" for k, v in ETL_SQL.items()})
+    out.update({k: f"WITH {WAREHOUSE_CTE}{v}" for k, v in INSIGHT_SQL.items()})
     return out
