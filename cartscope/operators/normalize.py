@@ -32,10 +32,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartscope.functions import clean_text, dow_name
-from cartscope.functions.coerce import (
-    invalid, is_missing, json_text, safe_float, safe_int,
-    strict_float, strict_int, variant_field,
-)
 from cartscope.schema import (
     DEFAULT_EVAL_SET, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS, UNSIGNED_BITS,
 )
@@ -67,83 +63,118 @@ def _is_string(field: Column) -> Column:
     return F.to_json(field).startswith('"')
 
 
-# ----------------------------------------------------------------- order level
-
-def _order_columns(o: Column, mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
-    """Typed order scalars and the list of (failure condition, reason)."""
-    checks: list[tuple[Column, str]] = []
-    prods = F.try_variant_get(o, "$.products", "array<variant>")
+# Target types of the one-pass casts. Casting a VARIANT to a struct converts
+# every field with try-semantics (a field that does not convert is NULL, the
+# rest survive), which is exactly the per-field lenient coercion; ``variant``
+# fields keep the JSON value so raw mode can tell missing, null and text apart.
+_ORDER_SCALARS = ("order_id", "user_id", "order_number", "order_dow", "order_hour_of_day")
+_ITEM_INTS = ("product_id", "aisle_id", "department_id", "add_to_cart_order")
+_ITEM_TEXTS = ("product_name", "aisle", "department")
+
+LENIENT_ITEM_TYPE = ("struct<product_id bigint, product_name string, aisle_id bigint, "
+                     "aisle string, department_id bigint, department string, "
+                     "add_to_cart_order bigint, reordered bigint>")
+LENIENT_ORDER_TYPE = ("struct<order_id bigint, user_id bigint, order_number bigint, "
+                      "order_dow bigint, order_hour_of_day bigint, "
+                      "days_since_prior_order double, eval_set string, "
+                      f"products array<{LENIENT_ITEM_TYPE}>>")
+RAW_ITEM_TYPE = "struct<" + ", ".join(
+    f"{n} variant" for n in ("product_id", "product_name", "aisle_id", "aisle", "department_id",
+                             "department", "add_to_cart_order", "reordered")) + ">"
+RAW_ORDER_TYPE = "struct<" + ", ".join(
+    f"{n} variant" for n in _ORDER_SCALARS + ("days_since_prior_order", "eval_set", "products")) + ">"
+RAW_PRODUCTS_TYPE = f"struct<products array<{RAW_ITEM_TYPE}>>"
+
+
+def cast_targets(mode: str) -> dict[str, str]:
+    """Column name -> struct type of the one-pass casts a mode needs."""
     if mode == "lenient":
-        cols = {
-            "order_id": safe_int(o, "$.order_id"),
-            "user_id": safe_int(o, "$.user_id"),
-            "order_number": safe_int(o, "$.order_number"),
-            "order_dow": safe_int(o, "$.order_dow"),
-            "order_hour_of_day": safe_int(o, "$.order_hour_of_day"),
-            "days_since_prior_order": safe_float(o, "$.days_since_prior_order"),
-            "eval_set": F.coalesce(json_text(o, "$.eval_set"), F.lit(DEFAULT_EVAL_SET)),
-            "products": F.coalesce(prods, F.array().cast("array<variant>")),
-        }
-    else:
-        cols = {
-            "order_id": strict_int(o, "$.order_id"),
-            "user_id": strict_int(o, "$.user_id"),
-            "order_number": strict_int(o, "$.order_number"),
-            "order_dow": strict_int(o, "$.order_dow"),
-            "order_hour_of_day": strict_int(o, "$.order_hour_of_day"),
-            "days_since_prior_order": strict_float(o, "$.days_since_prior_order"),
-            "eval_set": F.when(is_missing(o, "$.eval_set"), F.lit(DEFAULT_EVAL_SET))
-                         .otherwise(json_text(o, "$.eval_set")),
-            "products": F.when(is_missing(o, "$.products"), F.array().cast("array<variant>"))
-                         .otherwise(prods),
-        }
-        checks.append((is_missing(o, "$.order_id"), "order_id missing"))
-        for name in ("order_id", "user_id", "order_number", "order_dow", "order_hour_of_day"):
-            checks.append((invalid(o, f"$.{name}", cols[name]), f"{name} not an integer"))
-        checks.append((invalid(o, "$.days_since_prior_order", cols["days_since_prior_order"])
-                       & ~F.isnan(F.try_variant_get(o, "$.days_since_prior_order", "double")),
-                       "days_since_prior_order not a number"))
-        checks.append((~is_missing(o, "$.products") & prods.isNull(),
-                       "products null or not a list"))
-    for name in ("order_id", "user_id", "order_number", "order_dow", "order_hour_of_day"):
-        checks.append((_out_of_range(cols[name], name), f"{name} out of range"))
-    checks.append((F.size(cols["products"]) > (1 << UNSIGNED_BITS["total_items"]) - 1,
-                   "total_items out of range"))
-    return cols, checks
+        return {"t": LENIENT_ORDER_TYPE}
+    return {"t": RAW_ORDER_TYPE, "tp": RAW_PRODUCTS_TYPE}
+
+_EMPTY = "array<{}>"
+
+
+def _text(v: Column) -> Column:
+    """JSON text of a (small) sub-variant: strings as-is, numbers as digits."""
+    return F.try_variant_get(v, "$", "string")
+
+
+def _strict_int(v: Column) -> Column:
+    return _text(v).try_cast("bigint")
+
 
+def _present(v: Column) -> Column:
+    """Key present and not JSON null."""
+    return v.isNotNull() & ~F.is_variant_null(v)
 
-def _reordered_counts(p: Column, mode: str) -> Column:
-    """Does this product count towards ``total_reordered``?"""
+
+def _nan_to_null(d: Column) -> Column:
+    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+
+
+def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]], Column]:
+    """Typed order columns, (failure, reason) checks and the typed item array,
+    all in terms of the struct column ``t`` (the one-pass cast of ``o``)."""
+    t = F.col("t")
+    # an element of the orders list that is not a JSON object
+    checks: list[tuple[Column, str]] = [(t.isNull(), "order not an object")]
     if mode == "lenient":
-        return F.coalesce(F.try_variant_get(p, "$.reordered", "bigint"), F.lit(0)) == 1
-    f = variant_field(p, "$.reordered")
-    return F.coalesce(~_is_string(f) & (F.try_variant_get(f, "$", "double") == 1.0), F.lit(False))
+        cols = {n: F.coalesce(t[n], F.lit(0).cast("bigint")) for n in _ORDER_SCALARS}
+        cols["days_since_prior_order"] = _nan_to_null(t["days_since_prior_order"])
+        cols["eval_set"] = F.coalesce(t["eval_set"], F.lit(DEFAULT_EVAL_SET))
+        products = F.coalesce(t["products"], F.array().cast(_EMPTY.format(LENIENT_ITEM_TYPE)))
+        counts = lambda p: F.coalesce(p["reordered"], F.lit(0)) == 1
+    else:
+        cols = {n: _strict_int(t[n]) for n in _ORDER_SCALARS}
+        d = _text(t["days_since_prior_order"]).try_cast("double")
+        cols["days_since_prior_order"] = _nan_to_null(d)
+        cols["eval_set"] = F.when(t["eval_set"].isNull(), F.lit(DEFAULT_EVAL_SET)) \
+                            .otherwise(_text(t["eval_set"]))
+        typed = F.col("tp")["products"]
+        products = F.when(t["products"].isNull(), F.array().cast(_EMPTY.format(RAW_ITEM_TYPE))) \
+                    .otherwise(typed)
+        checks.insert(0, (F.col("doc_is_list"), "payload is a list"))
+        checks.append((t["order_id"].isNull(), "order_id missing"))
+        for n in _ORDER_SCALARS:
+            checks.append((_present(t[n]) & cols[n].isNull(), f"{n} not an integer"))
+        checks.append((_present(t["days_since_prior_order"]) & d.isNull(),
+                       "days_since_prior_order not a number"))
+        checks.append((t["products"].isNotNull() & typed.isNull(), "products null or not a list"))
 
+        def counts(p: Column) -> Column:
+            r = p["reordered"]
+            return F.coalesce(~_is_string(r) & (F.try_variant_get(r, "$", "double") == 1.0),
+                              F.lit(False))
+    for n in _ORDER_SCALARS:
+        checks.append((_out_of_range(cols[n], n), f"{n} out of range"))
+    checks.append((F.size(products) > (1 << UNSIGNED_BITS["total_items"]) - 1,
+                   "total_items out of range"))
+    cols["total_items"] = F.size(products)
+    cols["total_reordered"] = F.size(F.filter(products, counts))
+    return cols, checks, products
 
-# ------------------------------------------------------------------ item level
 
-def _item_columns(p: Column, mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
+def _item_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
+    """Typed item columns and checks over the inlined item struct fields."""
     checks: list[tuple[Column, str]] = []
-    ints = ("product_id", "aisle_id", "department_id", "add_to_cart_order")
-    texts = ("product_name", "aisle", "department")
+    c = F.col
     if mode == "lenient":
-        cols = {n: safe_int(p, f"$.{n}") for n in ints}
-        for n in texts:
-            cols[n] = clean_text(F.coalesce(json_text(p, f"$.{n}"), F.lit("")))
-        cols["reordered"] = safe_int(p, "$.reordered")
+        cols = {n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in _ITEM_INTS + ("reordered",)}
+        for n in _ITEM_TEXTS:
+            cols[n] = clean_text(F.coalesce(c(n), F.lit("")))
     else:
-        cols = {n: strict_int(p, f"$.{n}") for n in ints}
-        for n in ints:
-            checks.append((invalid(p, f"$.{n}", cols[n]), f"{n} not an integer"))
-        for n in texts:
-            f = variant_field(p, f"$.{n}")
-            cols[n] = F.when(f.isNull(), F.lit("")).otherwise(clean_text(json_text(p, f"$.{n}")))
-            checks.append((f.isNotNull() & (F.is_variant_null(f) | ~_is_string(f)),
+        cols = {n: _strict_int(c(n)) for n in _ITEM_INTS}
+        for n in _ITEM_INTS:
+            checks.append((_present(c(n)) & cols[n].isNull(), f"{n} not an integer"))
+        for n in _ITEM_TEXTS:
+            cols[n] = F.when(c(n).isNull(), F.lit("")).otherwise(clean_text(_text(c(n))))
+            checks.append((c(n).isNotNull() & (F.is_variant_null(c(n)) | ~_is_string(c(n))),
                            f"{n} null or not text"))
-        reo = F.try_variant_get(p, "$.reordered", "bigint")
-        cols["reordered"] = F.when(is_missing(p, "$.reordered"), F.lit(0).cast("bigint")).otherwise(reo)
-        checks.append((~is_missing(p, "$.reordered") & reo.isNull(), "reordered not an integer"))
-    for n in ints + ("reordered",):
+        reo = F.try_variant_get(c("reordered"), "$", "bigint")
+        cols["reordered"] = F.when(c("reordered").isNull(), F.lit(0).cast("bigint")).otherwise(reo)
+        checks.append((c("reordered").isNotNull() & reo.isNull(), "reordered not an integer"))
+    for n in _ITEM_INTS + ("reordered",):
         checks.append((_out_of_range(cols[n], n), f"{n} out of range"))
     return cols, checks
 
@@ -160,34 +191,39 @@ _ITEM_TYPES = {"order_id": "long", "user_id": "long", "product_id": "long",
 
 
 def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
-    """``orders_v`` has one VARIANT order per row in column ``o`` (from
-    ``sources.payload.read_orders_payload``) and ``doc_is_list``."""
+    """``orders_v`` has one VARIANT order per row in column ``o`` and
+    ``doc_is_list`` — ideally from ``read_orders_payload(..., mode=mode)``,
+    which also carries the mode's one-pass casts (``t``, and ``tp`` in raw
+    mode). Orders and items are then plain column expressions over those
+    structs, and the items come from ``inline`` of the typed product array —
+    no per-field path lookups in the hot loop.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    o = F.col("o")
-    cols, checks = _order_columns(o, mode)
-    if mode == "raw":
-        checks.insert(0, (F.col("doc_is_list"), "payload is a list"))
-
-    staged = orders_v.select(
+    targets = cast_targets(mode)
+    cast = orders_v
+    for name, target in targets.items():
+        if name not in orders_v.columns:   # caller did not cast at the explode
+            cast = cast.withColumn(name, F.try_variant_get("o", "$", target))
+    cols, checks, products = _order_level(mode)
+    staged = cast.select(
         "o",
-        *[c.alias(n) for n, c in cols.items()],
+        *[col.alias(n) for n, col in cols.items()],
+        products.alias("products"),
         _first_reason(checks).alias("_reason"),
-    ).withColumn("total_items", F.size("products")) \
-     .withColumn("total_reordered",
-                 F.size(F.filter("products", lambda p: _reordered_counts(p, mode)))) \
-     .withColumn("order_dow_name", dow_name(F.col("order_dow")))
-
-    orders = staged.filter(F.col("_reason").isNull()).select(
-        *[F.col(n).cast(_ORDER_TYPES[n]).alias(n) if n in _ORDER_TYPES else F.col(n)
-          for n in ORDERS_COLUMNS])
-
-    good = staged.filter(F.col("_reason").isNull()).select("order_id", "user_id", "products")
-    exploded = good.select("order_id", "user_id", F.explode("products").alias("p"))
-    icols, ichecks = _item_columns(F.col("p"), mode)
+    ).withColumn("order_dow_name", dow_name(F.col("order_dow")))
+
+    ok = staged.filter(F.col("_reason").isNull())
+    orders = ok.select(*[F.col(n).cast(_ORDER_TYPES[n]).alias(n) if n in _ORDER_TYPES
+                         else F.col(n) for n in ORDERS_COLUMNS])
+
+    exploded = ok.select("order_id", "user_id", F.inline("products"))
+    icols, ichecks = _item_level(mode)
     items_staged = exploded.select(
-        "order_id", "user_id", "p",
-        *[c.alias(n) for n, c in icols.items()],
+        "order_id", "user_id",
+        F.struct(*[F.col(n) for n in exploded.columns if n not in ("order_id", "user_id")])
+         .alias("p"),
+        *[col.alias(n) for n, col in icols.items()],
         _first_reason(ichecks).alias("_reason"))
     items = items_staged.filter(F.col("_reason").isNull()).select(
         *[F.col(n).cast(_ITEM_TYPES[n]).alias(n) if n in _ITEM_TYPES else F.col(n)
@@ -200,7 +236,7 @@ def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
     item_rejects = items_staged.filter(F.col("_reason").isNotNull()).select(
         F.lit(mode).alias("mode"), F.lit("item").alias("stage"),
         F.col("_reason").alias("reason"), F.col("order_id").cast("long").alias("order_id"),
-        F.to_json("p").alias("record"))
+        F.to_json(F.to_variant_object("p")).alias("record"))
     return Flattened(orders, items, order_rejects.unionByName(item_rejects))
 
 

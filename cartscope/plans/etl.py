@@ -24,7 +24,7 @@ from cartscope.sources.warehouse import warehouse_tables
 
 
 def _flat(spark: SparkSession, sf_dir: str, mode: str = "lenient") -> Flattened:
-    return flatten(P.read_orders_payload(spark, ensure_landing(spark, sf_dir)), mode)
+    return flatten(P.read_orders_payload(spark, ensure_landing(spark, sf_dir), mode=mode), mode)
 
 
 # ------------------------------------------------------------------- sources

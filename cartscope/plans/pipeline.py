@@ -33,7 +33,8 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
     """Flatten every landed payload document under ``landing`` into
     ``warehouse/orders`` and ``warehouse/order_items``; rejects go to
     ``warehouse/_rejects``. Raises when validation fails (``fail_on_invalid``)."""
-    parsed = read_orders_payload(spark, landing, multi_line).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = read_orders_payload(spark, landing, multi_line, mode=mode) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         flat = flatten(parsed, mode)
         rejects_path = f"{warehouse}/_rejects"

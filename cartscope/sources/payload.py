@@ -28,11 +28,13 @@ def read_documents(spark: SparkSession, path: str | list[str],
              .withColumn("source_file", F.input_file_name()))
 
 
-def _orders_array(doc: F.Column) -> F.Column:
-    """Orders of a document: the envelope's ``orders``, or the list itself."""
-    return F.coalesce(F.try_variant_get(doc, "$.orders", "array<variant>"),
-                      F.try_variant_get(doc, "$", "array<variant>"),
-                      F.array().cast("array<variant>"))
+def _orders_array(doc: F.Column, element: str = "variant") -> F.Column:
+    """Orders of a document — the envelope's ``orders``, or the list itself —
+    cast to ``array<element>``."""
+    t = f"array<{element}>"
+    return F.coalesce(F.try_variant_get(doc, "$.orders", t),
+                      F.try_variant_get(doc, "$", t),
+                      F.array().cast(t))
 
 
 def _is_list(doc: F.Column) -> F.Column:
@@ -43,22 +45,42 @@ def _is_list(doc: F.Column) -> F.Column:
     return F.try_variant_get(doc, "$[0]", "variant").isNotNull()
 
 
-def explode_orders(docs: DataFrame) -> DataFrame:
-    """One row per order: ``o`` (VARIANT), ``doc_is_list``, ``source_file``.
+def explode_orders(docs: DataFrame, typed: dict[str, str] | None = None) -> DataFrame:
+    """One row per order: ``o`` (VARIANT), ``doc_is_list``, ``source_file``,
+    plus one column per entry of ``typed`` (name -> struct type): the order
+    cast to that type.
 
+    The casts run once per *document* (the whole ``orders`` array at once) and
+    are zipped with the VARIANT array before the explode, so every later
+    per-order expression is a struct-field access; a cast above the explode
+    would be inlined by predicate pushdown into each reference of it.
     A bare list and an envelope both yield their orders; an envelope without
     ``orders`` yields none. Narrow (no shuffle): runs in the scan's tasks.
     """
-    return docs.select(
-        "source_file",
-        _is_list(F.col("doc")).alias("doc_is_list"),
-        F.explode(_orders_array(F.col("doc"))).alias("o"))
+    doc = F.col("doc")
+    arrays = [_orders_array(doc).alias("o")]
+    arrays += [_orders_array(doc, t).alias(name) for name, t in (typed or {}).items()]
+    # Document-level columns are computed *below* the explode: anything left in
+    # the explode's own select is evaluated after it, which would carry the
+    # whole document on every generated order row.
+    per_doc = docs.select("source_file", _is_list(doc).alias("doc_is_list"),
+                          F.arrays_zip(*arrays).alias("_orders"))
+    # explode_outer: an inner explode makes the optimizer add a
+    # ``size(array) > 0`` filter that evaluates the casts a second time.
+    return (per_doc.select("source_file", "doc_is_list", F.explode_outer("_orders").alias("_z"))
+                   .filter(F.col("_z").isNotNull())
+                   .select("source_file", "doc_is_list", "_z.*"))
 
 
 def read_orders_payload(spark: SparkSession, path: str | list[str],
-                        multi_line: bool = False) -> DataFrame:
-    """Landed payload files -> one row per order."""
-    return explode_orders(read_documents(spark, path, multi_line))
+                        multi_line: bool = False, mode: str | None = None) -> DataFrame:
+    """Landed payload files -> one row per order. With a flatten ``mode``
+    the rows also carry that mode's one-pass casts (see ``operators.normalize``)."""
+    typed = None
+    if mode is not None:
+        from cartscope.operators.normalize import cast_targets
+        typed = cast_targets(mode)
+    return explode_orders(read_documents(spark, path, multi_line), typed)
 
 
 def payload_summary(docs: DataFrame, with_timestamp: bool = True) -> DataFrame:
