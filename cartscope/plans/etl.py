@@ -219,6 +219,16 @@ def q_sample_order_items(spark, sf_dir):
     return V.sample_order_items(warehouse_tables(spark, sf_dir)[1])
 
 
+def q_incremental_ingest(spark, sf_dir):
+    """Daily run as a stream: every landed file flattened and loaded once
+    (availableNow trigger, file-source checkpoint); returns the loaded orders."""
+    from cartscope.streaming import start_ingest
+    dest = scratch_path(spark, "stream-warehouse")
+    start_ingest(spark, ensure_landing(spark, sf_dir), dest,
+                 checkpoint=scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.parquet(f"{dest}/orders").drop("ingest_batch")
+
+
 ETL_QUERIES = {
     "read_orders_payload": q_read_orders_payload,
     "payload_summary": q_payload_summary,
@@ -242,6 +252,7 @@ ETL_QUERIES = {
     "flatten_order_items_raw": q_flatten_order_items_raw,
     "flatten_rejects": q_flatten_rejects,
     "transform_summary": q_transform_summary,
+    "incremental_ingest": q_incremental_ingest,
     "validate_counts": q_validate_counts,
     "validate_nonempty": q_validate_nonempty,
     "table_counts": q_table_counts,

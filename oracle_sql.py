@@ -2,7 +2,7 @@
 
 The warehouse tables are derived relationally from the driver's parquet views
 (``orders``, ``lineitem``, ``part``) with plain window functions — a different
-route from the Spark build — and each metric is the reference statement with
+route from the Spark build — and each metric is the dashboard statement with
 the documented deviations: half-to-even rounding (``round_even``), DOUBLE
 rates, explicit tie-breakers before every LIMIT, skip-empty-orders division.
 """
@@ -254,6 +254,7 @@ ETL_SQL = {
         FROM r_reject""",
     "transform_summary": """SELECT (SELECT count(*) FROM e_orders) AS order_count,
         (SELECT count(*) FROM e_items) AS order_item_count""",
+    "incremental_ingest": f"SELECT {ORDERS_COLS} FROM e_orders",
     "validate_counts": """SELECT 'orders' AS table_name, count(*) AS expected,
         count(*) AS loaded, true AS ok FROM e_orders
         UNION ALL SELECT 'order_items', count(*), count(*), true FROM e_items""",
