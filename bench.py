@@ -28,13 +28,14 @@ ETL_HEADLINE = ["read_orders_payload", "payload_summary", "flatten_orders",
 
 
 def main() -> None:
+    from cartscope.plans.dashboard import refresh
     from cartscope.plans.insights import INSIGHTS
     from cartscope.plans.metrics import METRICS
     from cartscope.plans.pipeline import run_pipeline
     from cartscope.registry import QUERIES
     from cartscope.session import get_spark, scratch_path
     from cartscope.sources.payload_fixture import ensure_landing
-    from cartscope.sources.warehouse import build_warehouse, ensure_warehouse
+    from cartscope.sources.warehouse import build_warehouse, ensure_warehouse, warehouse_tables
 
     spark = get_spark(f"local[{CPUS}]", app="cartscope-bench", shuffle_partitions=int(CPUS),
                       extra={"spark.driver.memory": "16g"})
@@ -52,6 +53,13 @@ def main() -> None:
     for name in list(METRICS) + list(INSIGHTS) + ETL_HEADLINE:
         jobs[name] = run_query(name)
 
+    def refresh_all():
+        orders, items = warehouse_tables(spark, SF_DIR)
+        for df in refresh(spark, orders, items).values():
+            df.write.format("noop").mode("overwrite").save()
+    # the whole dashboard (36 series) from first-level aggregates, one scan each
+    jobs["dashboard_refresh_all"] = refresh_all
+
     timings = {}
     for name, job in jobs.items():
         job()  # warm-up
@@ -64,7 +72,9 @@ def main() -> None:
 
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     sf = float(m.group(1)) if m else None
-    total = round(sum(timings.values()), 3)
+    # headline: every query run on its own (the fused refresh is reported
+    # alongside, not added, since it recomputes the same series)
+    total = round(sum(v for k, v in timings.items() if k != "dashboard_refresh_all"), 3)
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": int(CPUS), "runs": RUNS}))
     spark.stop()

@@ -80,16 +80,21 @@ def product_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p_type").alias("department")))
 
 
-def order_items_from(spark: SparkSession, sf_dir: str, seq: DataFrame) -> DataFrame:
-    """Item rows for the sequenced orders ``seq``, with the reorder flag."""
+def joined_items(spark: SparkSession, sf_dir: str, seq: DataFrame) -> DataFrame:
+    """lineitem x sequenced orders x products (no reorder flag yet)."""
     li = (read_table(spark, sf_dir, "lineitem")
           .select(F.col("l_orderkey").cast("long").alias("order_id"),
                   F.col("l_partkey").cast("long").alias("product_id"),
                   (F.col("l_linenumber") * 4 - 3).cast("short").alias("add_to_cart_order")))
-    items = (li.join(seq.select("order_id", "user_id", "order_number"), "order_id", "inner")
-               .join(product_dimension(spark, sf_dir), "product_id", "inner"))
-    # first purchase of each (user, product name): a partial aggregate, then an
-    # equi-join back; a hot key is split by AQE's skew-join handling.
+    return (li.join(seq.select("order_id", "user_id", "order_number"), "order_id", "inner")
+              .join(product_dimension(spark, sf_dir), "product_id", "inner"))
+
+
+def with_reorder_flag(items: DataFrame) -> DataFrame:
+    """``reordered`` = 1 when the user bought the same product name in an
+    earlier order. The first purchase per (user, product name) is a partial
+    aggregate joined back on that key (AQE's skew join splits a hot key);
+    ``items`` is read twice, so pass a materialised table."""
     first = (items.groupBy("user_id", "product_name")
                   .agg(F.min("order_number").alias("_first_order")))
     return (items.join(first, ["user_id", "product_name"], "inner")
@@ -98,6 +103,11 @@ def order_items_from(spark: SparkSession, sf_dir: str, seq: DataFrame) -> DataFr
                  .select(*ORDER_ITEMS_COLUMNS))
 
 
+def order_items_from(spark: SparkSession, sf_dir: str, seq: DataFrame) -> DataFrame:
+    """Item rows for the sequenced orders ``seq``, with the reorder flag."""
+    return with_reorder_flag(joined_items(spark, sf_dir, seq))
+
+
 def orders_with_totals(seq: DataFrame, items: DataFrame) -> DataFrame:
     """Attach per-order item and reorder counts (0 for orders without items)."""
     totals = (items.groupBy("order_id")

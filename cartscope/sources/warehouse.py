@@ -86,8 +86,11 @@ def build_warehouse(spark: SparkSession, sf_dir: str, dest: str) -> None:
     fixtures.sequenced_orders(spark, sf_dir).write.mode("overwrite").parquet(seq_path)
     seq = spark.read.parquet(seq_path)
 
-    # 2. items: lineitem x orders x part, reorder flag from first purchase.
-    items = fixtures.order_items_from(spark, sf_dir, seq)
+    # 2. items: lineitem x orders x part, staged once (the reorder flag reads
+    #    it twice: first purchase per (user, product), then the join back).
+    joined_path = f"{dest}/_stage/items_joined"
+    fixtures.joined_items(spark, sf_dir, seq).write.mode("overwrite").parquet(joined_path)
+    items = fixtures.with_reorder_flag(spark.read.parquet(joined_path))
     write_sorted(items, f"{dest}/order_items", ORDER_ITEMS_SORT_KEY, files)
 
     # 3. per-order totals from the written items; orders with none get 0.
