@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from cartscope.operators import validate as V
 from cartscope.operators.normalize import flatten
 from cartscope.sinks.tables import load
+from cartscope.session import file_count
 from cartscope.sources.payload import read_orders_payload
 
 
@@ -41,7 +42,8 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
         flat.rejects.write.mode("overwrite").parquet(rejects_path)
         # transform counts are observed while the load writes: no second pass
         obs = {t: Observation(f"transform_{t}") for t in ("orders", "order_items")}
-        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs)
+        files = file_count(spark, [landing])
+        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs, files=files)
     finally:
         parsed.unpersist()
     expected = spark.createDataFrame(

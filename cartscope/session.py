@@ -37,6 +37,10 @@ def get_spark(master: str | None = None, app: str = "cartscope",
         # side is under this bound, so no plan broadcasts an unchecked side.
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
         "spark.sql.files.maxPartitionBytes": "128MB",
+        # AQE merges small shuffle partitions up to this size
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        # reliable checkpoints (lineage cuts) are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -104,6 +108,28 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop content summary)."""
+    jvm = spark._jvm
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def file_count(spark: SparkSession, paths: list[str], bytes_per_file: int = TARGET_FILE_BYTES) -> int:
+    """Output files for a table derived from ``paths``: about one per
+    ``bytes_per_file`` of input, and at least one per default parallelism
+    slot, so a 100 TB input is written as ~400k files, not 200 huge ones."""
+    n = -(-input_bytes(spark, paths) // bytes_per_file)
+    return max(int(n), spark.sparkContext.defaultParallelism, 1)
+
+
 def local_dir_for_tests() -> str:
     """Per-run scratch folder for pytest (never cleared with rm)."""
     return tempfile.mkdtemp(prefix="cartscope-test-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -27,7 +27,10 @@ SCHEMAS = {"orders": ORDERS_SCHEMA, "order_items": ORDER_ITEMS_SCHEMA}
 
 
 def _files(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Default file count when the caller does not size the load (pass
+    ``files=session.file_count(spark, input_paths)`` for large inputs)."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
 
 
 def load_table(df: DataFrame, table: str, dest: str, mode: str = "overwrite",
@@ -44,7 +47,8 @@ def load_table(df: DataFrame, table: str, dest: str, mode: str = "overwrite",
 
 
 def load(orders: DataFrame, items: DataFrame, dest: str, mode: str = "overwrite",
-         skip_empty: bool = False, observations: dict | None = None) -> dict[str, str]:
+         skip_empty: bool = False, observations: dict | None = None,
+         files: int | None = None) -> dict[str, str]:
     """Load both tables, orders first. With ``skip_empty`` an empty input
     table is not written (the scheduled pipeline's behaviour)."""
     out = {}
@@ -52,7 +56,7 @@ def load(orders: DataFrame, items: DataFrame, dest: str, mode: str = "overwrite"
     for table, df in (("orders", orders), ("order_items", items)):
         if skip_empty and df.isEmpty():
             continue
-        out[table] = load_table(df, table, dest, mode, observation=obs.get(table))
+        out[table] = load_table(df, table, dest, mode, files=files, observation=obs.get(table))
     return out
 
 

@@ -32,7 +32,7 @@ from cartscope.operators import sequence
 from cartscope.schema import (
     ORDER_ITEMS_SCHEMA, ORDER_ITEMS_SORT_KEY, ORDERS_SCHEMA, ORDERS_SORT_KEY,
 )
-from cartscope.session import path_exists, rename_path, scratch_path, work_root
+from cartscope.session import file_count, path_exists, rename_path, scratch_path, work_root
 from cartscope.sources import fixtures
 
 SOURCE_TABLES = ("orders", "lineitem", "part")
@@ -59,8 +59,9 @@ def warehouse_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{work_root(spark)}/cartscope/warehouse/{warehouse_key(spark, sf_dir)}"
 
 
-def _files_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _files_for(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> int:
+    """Files per output table, sized from the input tables it derives from."""
+    return file_count(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables])
 
 
 def write_sorted(df: DataFrame, path: str, sort_key: list[str], files: int,
@@ -79,7 +80,6 @@ def write_sorted(df: DataFrame, path: str, sort_key: list[str], files: int,
 
 def build_warehouse(spark: SparkSession, sf_dir: str, dest: str) -> None:
     """Adapter -> ``dest/orders`` and ``dest/order_items`` (plus a lineage cut)."""
-    files = _files_for(spark)
     # 1. per-customer numbering (several shuffles) is materialised once and
     #    read back twice: by the items join and by the final orders table.
     seq_path = f"{dest}/_stage/orders_sequenced"
@@ -91,11 +91,12 @@ def build_warehouse(spark: SparkSession, sf_dir: str, dest: str) -> None:
     joined_path = f"{dest}/_stage/items_joined"
     fixtures.joined_items(spark, sf_dir, seq).write.mode("overwrite").parquet(joined_path)
     items = fixtures.with_reorder_flag(spark.read.parquet(joined_path))
-    write_sorted(items, f"{dest}/order_items", ORDER_ITEMS_SORT_KEY, files)
+    write_sorted(items, f"{dest}/order_items", ORDER_ITEMS_SORT_KEY,
+                 _files_for(spark, sf_dir, ("lineitem", "part")))
 
     # 3. per-order totals from the written items; orders with none get 0.
     orders = fixtures.orders_with_totals(seq, spark.read.parquet(f"{dest}/order_items"))
-    write_sorted(orders, f"{dest}/orders", ORDERS_SORT_KEY, files)
+    write_sorted(orders, f"{dest}/orders", ORDERS_SORT_KEY, _files_for(spark, sf_dir, ("orders",)))
 
 
 _RESOLVED: dict[tuple[str, str], str] = {}
