@@ -30,10 +30,13 @@ class PipelineResult:
 
 def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
                  mode: str = "lenient", load_mode: str = "overwrite",
-                 multi_line: bool = False, fail_on_invalid: bool = True) -> PipelineResult:
+                 multi_line: bool = False, fail_on_invalid: bool = True,
+                 require_nonempty: bool = False) -> PipelineResult:
     """Flatten every landed payload document under ``landing`` into
     ``warehouse/orders`` and ``warehouse/order_items``; rejects go to
-    ``warehouse/_rejects``. Raises when validation fails (``fail_on_invalid``)."""
+    ``warehouse/_rejects``. Raises when the count reconciliation fails
+    (``fail_on_invalid``, the scheduled pipeline's check) and, with
+    ``require_nonempty``, when a loaded table is empty (the runner's check)."""
     parsed = read_orders_payload(spark, landing, multi_line, mode=mode) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -54,4 +57,6 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
     nonempty = V.validate_nonempty(loaded)
     if fail_on_invalid:
         V.assert_valid(checks, "count reconciliation")
+    if require_nonempty:
+        V.assert_valid(nonempty, "non-empty check")
     return PipelineResult(warehouse, rejects_path, checks, nonempty)

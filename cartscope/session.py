@@ -96,6 +96,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     """Publish a finished directory under its final name (atomic on HDFS-like stores)."""
     jvm = spark._jvm

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cartscope.operators.normalize import fill_load_defaults
+from cartscope.session import make_dirs
 from cartscope.schema import (
     ORDER_ITEMS_SCHEMA, ORDER_ITEMS_SORT_KEY, ORDERS_SCHEMA, ORDERS_SORT_KEY,
 )
@@ -73,6 +74,7 @@ def create_database(spark: SparkSession, database: str = "ecommerce") -> None:
 def create_table(spark: SparkSession, table: str, name: str, location: str) -> None:
     """Create ``orders`` / ``order_items`` if absent, as an external
     Parquet table at ``location``."""
+    make_dirs(spark, location)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(table)}) "
               f"USING parquet LOCATION '{location}'")
 
