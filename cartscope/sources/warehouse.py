@@ -82,13 +82,14 @@ def build_warehouse(spark: SparkSession, sf_dir: str, dest: str) -> None:
     """Adapter -> ``dest/orders`` and ``dest/order_items`` (plus a lineage cut)."""
     # 1. per-customer numbering (several shuffles) is materialised once and
     #    read back twice: by the items join and by the final orders table.
-    seq_path = f"{dest}/_stage/orders_sequenced"
+    stage = scratch_path(spark, "stage")   # never published; left for retention
+    seq_path = f"{stage}/orders_sequenced"
     fixtures.sequenced_orders(spark, sf_dir).write.mode("overwrite").parquet(seq_path)
     seq = spark.read.parquet(seq_path)
 
     # 2. items: lineitem x orders x part, staged once (the reorder flag reads
     #    it twice: first purchase per (user, product), then the join back).
-    joined_path = f"{dest}/_stage/items_joined"
+    joined_path = f"{stage}/items_joined"
     fixtures.joined_items(spark, sf_dir, seq).write.mode("overwrite").parquet(joined_path)
     items = fixtures.with_reorder_flag(spark.read.parquet(joined_path))
     write_sorted(items, f"{dest}/order_items", ORDER_ITEMS_SORT_KEY,
