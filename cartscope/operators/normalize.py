@@ -82,15 +82,13 @@ RAW_ITEM_TYPE = "struct<" + ", ".join(
     f"{n} variant" for n in ("product_id", "product_name", "aisle_id", "aisle", "department_id",
                              "department", "add_to_cart_order", "reordered")) + ">"
 RAW_ORDER_TYPE = "struct<" + ", ".join(
-    f"{n} variant" for n in _ORDER_SCALARS + ("days_since_prior_order", "eval_set", "products")) + ">"
-RAW_PRODUCTS_TYPE = f"struct<products array<{RAW_ITEM_TYPE}>>"
+    f"{n} variant" for n in _ORDER_SCALARS + ("days_since_prior_order", "eval_set")) \
+    + f", products array<{RAW_ITEM_TYPE}>>"
 
 
 def cast_targets(mode: str) -> dict[str, str]:
-    """Column name -> struct type of the one-pass casts a mode needs."""
-    if mode == "lenient":
-        return {"t": LENIENT_ORDER_TYPE}
-    return {"t": RAW_ORDER_TYPE, "tp": RAW_PRODUCTS_TYPE}
+    """Column name -> struct type of the one-pass cast a mode needs."""
+    return {"t": LENIENT_ORDER_TYPE if mode == "lenient" else RAW_ORDER_TYPE}
 
 _EMPTY = "array<{}>"
 
@@ -131,8 +129,11 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
         cols["days_since_prior_order"] = _nan_to_null(d)
         cols["eval_set"] = F.when(t["eval_set"].isNull(), F.lit(DEFAULT_EVAL_SET)) \
                             .otherwise(_text(t["eval_set"]))
-        typed = F.col("tp")["products"]
-        products = F.when(t["products"].isNull(), F.array().cast(_EMPTY.format(RAW_ITEM_TYPE))) \
+        # missing / null / not-a-list is read off the order's own VARIANT (a
+        # small per-order lookup); the typed list comes from the one cast
+        pv = F.try_variant_get(F.col("o"), "$.products", "variant")
+        typed = t["products"]
+        products = F.when(pv.isNull(), F.array().cast(_EMPTY.format(RAW_ITEM_TYPE))) \
                     .otherwise(typed)
         checks.insert(0, (F.col("doc_is_list"), "payload is a list"))
         checks.append((t["order_id"].isNull(), "order_id missing"))
@@ -140,12 +141,15 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
             checks.append((_present(t[n]) & cols[n].isNull(), f"{n} not an integer"))
         checks.append((_present(t["days_since_prior_order"]) & d.isNull(),
                        "days_since_prior_order not a number"))
-        checks.append((t["products"].isNotNull() & typed.isNull(), "products null or not a list"))
+        checks.append((pv.isNotNull() & typed.isNull(), "products null or not a list"))
 
         def counts(p: Column) -> Column:
             r = p["reordered"]
             return F.coalesce(~_is_string(r) & (F.try_variant_get(r, "$", "double") == 1.0),
                               F.lit(False))
+    # a product that is not a JSON object fails its cast (NULL element); the
+    # source scripts would stop on it, so the whole order is rejected
+    checks.append((F.exists(products, lambda p: p.isNull()), "product not an object"))
     for n in _ORDER_SCALARS:
         checks.append((_out_of_range(cols[n], n), f"{n} out of range"))
     checks.append((F.size(products) > (1 << UNSIGNED_BITS["total_items"]) - 1,
@@ -158,6 +162,7 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
 def _item_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
     """Typed item columns and checks over the inlined item struct fields."""
     checks: list[tuple[Column, str]] = []
+
     c = F.col
     if mode == "lenient":
         cols = {n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in _ITEM_INTS + ("reordered",)}

@@ -254,3 +254,12 @@ def test_non_object_order_rejected(flat):
     orders, _, rejects = flat([{"orders": [5, order(order_id=3)]}], "lenient")
     assert [o["order_id"] for o in orders] == [3]
     assert rejects[0]["reason"] == "order not an object"
+
+
+@pytest.mark.parametrize("mode", ["lenient", "raw"])
+def test_non_object_product_rejected(flat, mode):
+    docs = [{"orders": [order(order_id=1, products=[7, product()]), order(order_id=2)]}]
+    orders, items, rejects = flat(docs, mode)
+    assert [o["order_id"] for o in orders] == [2] and items == []
+    assert [(r["stage"], r["order_id"], r["reason"]) for r in rejects] == [
+        ("order", 1, "product not an object")]
