@@ -61,10 +61,10 @@ def table_counts(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def sample_orders(orders: DataFrame, n: int = 5) -> DataFrame:
     """V4: first rows of ``orders`` in sort-key order (top-k, no full sort)."""
-    return orders.orderBy(*ORDERS_SORT_KEY).limit(n)
+    return orders.orderBy(*[F.col(c).asc_nulls_last() for c in ORDERS_SORT_KEY]).limit(n)
 
 
 def sample_order_items(items: DataFrame, n: int = 5) -> DataFrame:
     """V5: first rows of ``order_items``; every column breaks ties, because the
     sort key (order_id, product_id) repeats."""
-    return items.orderBy(*ORDER_ITEMS_COLUMNS).limit(n)
+    return items.orderBy(*[F.col(c).asc_nulls_last() for c in ORDER_ITEMS_COLUMNS]).limit(n)

@@ -122,51 +122,51 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
 
     out["orders_by_dow"] = by_dow.select(F.col("order_dow_name").alias("day_of_week"),
                                          "order_dow", "total_orders") \
-                                 .orderBy("order_dow", "day_of_week")
+                                 .orderBy(*M.asc("order_dow", "day_of_week"))
     out["orders_by_hour"] = by_hour.select(F.col("order_hour_of_day").alias("hour"),
-                                           "total_orders").orderBy("hour")
+                                           "total_orders").orderBy(*M.asc("hour"))
     out["heatmap_dow_hour"] = cells.select(
         F.col("order_dow_name").alias("day_of_week"), "order_dow",
         F.col("order_hour_of_day").alias("hour"), F.col("n").alias("total_orders")) \
-        .orderBy("order_dow", "hour", "day_of_week")
+        .orderBy(*M.asc("order_dow", "hour", "day_of_week"))
     out["viz_orders_by_dow"] = M._named(
         by_dow.select("order_dow", "order_dow_name", "total_orders")
-              .orderBy("order_dow", "order_dow_name"), "viz_orders_by_dow")
+              .orderBy(*M.asc("order_dow", "order_dow_name")), "viz_orders_by_dow")
     out["viz_orders_by_hour"] = M._named(
-        by_hour.select("order_hour_of_day", "total_orders").orderBy("order_hour_of_day"),
+        by_hour.select("order_hour_of_day", "total_orders").orderBy(*M.asc("order_hour_of_day")),
         "viz_orders_by_hour")
     out["viz_heatmap"] = M._named(
         cells.select("order_dow_name", "order_dow", "order_hour_of_day", "n")
-             .orderBy("order_dow", "order_hour_of_day", "order_dow_name"), "viz_heatmap")
+             .orderBy(*M.asc("order_dow", "order_hour_of_day", "order_dow_name")), "viz_heatmap")
     p = (cells.groupBy("order_dow", "order_dow_name")
               .pivot("order_hour_of_day", M.HOURS).agg(F.sum("n")))
     out["viz_heatmap_pivot"] = p.select(
         "order_dow", F.col("order_dow_name").alias("day"),
         *[F.coalesce(F.col(str(h)), F.lit(0)).cast("long").alias(f"h{h:02d}") for h in M.HOURS]) \
-        .orderBy("order_dow", "day")
+        .orderBy(*M.asc("order_dow", "day"))
 
     out["basket_size_dist"] = a["baskets"].select(
         F.col("total_items").alias("items_in_order"), F.col("n").alias("order_count")) \
-        .orderBy("items_in_order")
-    out["viz_basket_size"] = M._named(a["baskets"].orderBy("total_items"), "viz_basket_size")
+        .orderBy(*M.asc("items_in_order"))
+    out["viz_basket_size"] = M._named(a["baskets"].orderBy(*M.asc("total_items")), "viz_basket_size")
     out["viz_gap_days_hist"] = M._named(
-        a["gaps"].orderBy("days_since_prior_order")
+        a["gaps"].orderBy(*M.asc("days_since_prior_order"))
                  .select(F.bround("days_since_prior_order", 0).cast("double"), "n"),
         "viz_gap_days_hist")
-    out["eval_set_dist"] = a["eval_sets"].orderBy("eval_set")
+    out["eval_set_dist"] = a["eval_sets"].orderBy(*M.asc("eval_set"))
 
     u = a["users"]
     out["top_users"] = u.select("user_id", "total_orders", "total_items_ordered",
                                 "max_order_number", "avg_days_between_orders") \
-                        .orderBy(F.desc("total_orders"), "user_id").limit(M.TOP_K)
+                        .orderBy(F.desc("total_orders"), *M.asc("user_id")).limit(M.TOP_K)
     out["viz_top_users"] = M._named(
         u.select("user_id", "total_orders", "total_items_ordered", "max_order_number",
                  "avg_days_between_orders", F.bround("_mean_order_reorder_pct", 1))
-         .orderBy(F.desc("total_orders"), "user_id").limit(M.TOP_K), "viz_top_users")
+         .orderBy(F.desc("total_orders"), *M.asc("user_id")).limit(M.TOP_K), "viz_top_users")
 
     pr = a["products"]
     keys = ["product_name", "department", "aisle"]
-    top = pr.orderBy(F.desc("n"), *keys)
+    top = pr.orderBy(F.desc("n"), *M.asc(*keys))
     out["top_products"] = top.select(*keys, F.col("n").alias("times_ordered"),
                                      F.col("r").alias("times_reordered"),
                                      _rate_sum("r", "n").alias("reorder_rate_pct")).limit(M.TOP_K)
@@ -177,7 +177,7 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     out["viz_top_reorder_rate"] = M._named(
         pd_.filter(F.col("n") >= M.MIN_TIMES_ORDERED)
            .select("product_name", "department", "n", _rate("r", "n").alias("rate"))
-           .orderBy(F.desc("rate"), "product_name", "department").limit(M.TOP_K),
+           .orderBy(F.desc("rate"), *M.asc("product_name", "department")).limit(M.TOP_K),
         "viz_top_reorder_rate")
     out["insight_top3_products"] = out["top_products"].limit(3)
     hit = F.col("product_name").contains(keyword).cast("int")
@@ -191,17 +191,17 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     out["top_departments"] = dept.select(
         "department", F.col("n").alias("items_ordered"), F.col("u").alias("unique_products"),
         F.col("r").alias("reordered_count"), _rate_sum("r", "n").alias("reorder_rate_pct")) \
-        .orderBy(F.desc("items_ordered"), "department").limit(M.TOP_K)
+        .orderBy(F.desc("items_ordered"), *M.asc("department")).limit(M.TOP_K)
     out["reorder_rate_by_department"] = dept.select(
         "department", F.col("n").alias("total_items"), F.col("r").alias("reordered"),
         _rate_sum("r", "n").alias("reorder_rate_pct")) \
-        .orderBy(F.desc("reorder_rate_pct"), "department")
+        .orderBy(F.desc("reorder_rate_pct"), *M.asc("department"))
     out["viz_departments"] = M._named(
         dept.select("department", "n", "u", "r", _rate("r", "n").alias("rate"))
-            .orderBy(F.desc("n"), "department"), "viz_departments")
+            .orderBy(F.desc("n"), *M.asc("department")), "viz_departments")
     out["viz_dept_reorder_rate"] = M._named(
         dept.select("department", "n", "r", _rate("r", "n").alias("rate"))
-            .orderBy(F.desc("rate"), "department"), "viz_dept_reorder_rate")
+            .orderBy(F.desc("rate"), *M.asc("department")), "viz_dept_reorder_rate")
     tot = dp.agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
     out["kpi_total_items"] = tot.select(F.col("n").alias("total_items_ordered"))
     out["kpi_reorder_rate"] = tot.select(_rate("r", "n").alias("overall_reorder_rate_pct"))
@@ -209,16 +209,16 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     ap = a["aisle_products"]
     aisles = ap.groupBy("aisle", "department").agg(F.sum("n").alias("items_ordered"),
                                                   F.count(F.lit(1)).alias("unique_products"))
-    out["top_aisles"] = aisles.orderBy(F.desc("items_ordered"), "aisle", "department") \
+    out["top_aisles"] = aisles.orderBy(F.desc("items_ordered"), *M.asc("aisle", "department")) \
                               .limit(M.TOP_K)
     out["viz_top_aisles"] = M._named(out["top_aisles"], "viz_top_aisles")
 
     c = a["carts"]
     out["cart_position_reorder"] = c.select(
         F.col("add_to_cart_order").alias("cart_position"), F.col("n").alias("times_ordered"),
-        _rate("r", "n").alias("reorder_rate_pct")).orderBy("cart_position")
+        _rate("r", "n").alias("reorder_rate_pct")).orderBy(*M.asc("cart_position"))
     out["viz_cart_position"] = M._named(
-        c.select("add_to_cart_order", "n", _rate("r", "n")).orderBy("add_to_cart_order"),
+        c.select("add_to_cart_order", "n", _rate("r", "n")).orderBy(*M.asc("add_to_cart_order")),
         "viz_cart_position")
 
     # insights over the bounded cell table (a one-row-per-cell stand-in for orders)

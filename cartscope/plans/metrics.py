@@ -33,6 +33,12 @@ def _n() -> Column:
     return F.count(F.lit(1))
 
 
+def asc(*cols: str) -> list[Column]:
+    """Ascending sort keys with NULLs last (the source engine's order; Spark's
+    default puts them first)."""
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 # ---------------------------------------------------------------- overview (Q)
 
 def overview(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
@@ -51,19 +57,19 @@ def orders_by_dow(orders: DataFrame, items: DataFrame | None = None) -> DataFram
     return (orders.groupBy("order_dow_name", "order_dow").agg(_n().alias("total_orders"))
                   .select(F.col("order_dow_name").alias("day_of_week"), "order_dow",
                           "total_orders")
-                  .orderBy("order_dow", "day_of_week"))
+                  .orderBy(*asc("order_dow", "day_of_week")))
 
 
 def orders_by_hour(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Q3: orders per hour of day."""
     return (orders.groupBy(F.col("order_hour_of_day").alias("hour"))
-                  .agg(_n().alias("total_orders")).orderBy("hour"))
+                  .agg(_n().alias("total_orders")).orderBy(*asc("hour")))
 
 
 def basket_size_dist(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Q4: number of orders per basket size."""
     return (orders.groupBy(F.col("total_items").alias("items_in_order"))
-                  .agg(_n().alias("order_count")).orderBy("items_in_order"))
+                  .agg(_n().alias("order_count")).orderBy(*asc("items_in_order")))
 
 
 def _product_stats(items: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,7 +87,7 @@ def top_products(orders: DataFrame | None, items: DataFrame, k: int = TOP_K) ->
             .select(*keys, "times_ordered", "times_reordered",
                     rate_pct(F.col("times_reordered"), F.col("times_ordered"))
                     .alias("reorder_rate_pct"))
-            .orderBy(F.desc("times_ordered"), *keys).limit(k))
+            .orderBy(F.desc("times_ordered"), *asc(*keys)).limit(k))
 
 
 def _department_stats(items: DataFrame) -> DataFrame:
@@ -99,7 +105,7 @@ def top_departments(orders: DataFrame | None, items: DataFrame, k: int = TOP_K)
             .select("department", "items_ordered", "unique_products", "reordered_count",
                     rate_pct(F.col("reordered_count"), F.col("items_ordered"))
                     .alias("reorder_rate_pct"))
-            .orderBy(F.desc("items_ordered"), "department").limit(k))
+            .orderBy(F.desc("items_ordered"), *asc("department")).limit(k))
 
 
 def _aisle_stats(items: DataFrame) -> DataFrame:
@@ -112,7 +118,7 @@ def _aisle_stats(items: DataFrame) -> DataFrame:
 def top_aisles(orders: DataFrame | None, items: DataFrame, k: int = TOP_K) -> DataFrame:
     """Q7: top aisles by volume."""
     return (_aisle_stats(items)
-            .orderBy(F.desc("items_ordered"), "aisle", "department").limit(k))
+            .orderBy(F.desc("items_ordered"), *asc("aisle", "department")).limit(k))
 
 
 def reorder_rate_by_department(orders: DataFrame | None, items: DataFrame) -> DataFrame:
@@ -124,7 +130,7 @@ def reorder_rate_by_department(orders: DataFrame | None, items: DataFrame) -> Da
                                         F.sum("reordered").alias("reordered"))
     return (g.select("department", "total_items", "reordered",
                      rate_pct(F.col("reordered"), F.col("total_items")).alias("reorder_rate_pct"))
-             .orderBy(F.desc("reorder_rate_pct"), "department"))
+             .orderBy(F.desc("reorder_rate_pct"), *asc("department")))
 
 
 def _user_stats(orders: DataFrame) -> DataFrame:
@@ -143,7 +149,7 @@ def top_users(orders: DataFrame, items: DataFrame | None = None, k: int = TOP_K)
     return (_user_stats(orders)
             .select("user_id", "total_orders", "total_items_ordered", "max_order_number",
                     "avg_days_between_orders")
-            .orderBy(F.desc("total_orders"), "user_id").limit(k))
+            .orderBy(F.desc("total_orders"), *asc("user_id")).limit(k))
 
 
 def _cart_positions(items: DataFrame) -> DataFrame:
@@ -158,7 +164,7 @@ def cart_position_reorder(orders: DataFrame | None, items: DataFrame) -> DataFra
     return (_cart_positions(items)
             .select(F.col("add_to_cart_order").alias("cart_position"), "times_ordered",
                     "reorder_rate_pct")
-            .orderBy("cart_position"))
+            .orderBy(*asc("cart_position")))
 
 
 def _dow_hour(orders: DataFrame) -> DataFrame:
@@ -171,14 +177,14 @@ def heatmap_dow_hour(orders: DataFrame, items: DataFrame | None = None) -> DataF
     return (_dow_hour(orders)
             .select(F.col("order_dow_name").alias("day_of_week"), "order_dow",
                     F.col("order_hour_of_day").alias("hour"), F.col("n").alias("total_orders"))
-            .orderBy("order_dow", "hour", "day_of_week"))
+            .orderBy(*asc("order_dow", "hour", "day_of_week")))
 
 
 def eval_set_dist(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Q12: orders and users per evaluation set."""
     return (orders.groupBy("eval_set")
                   .agg(_n().alias("total_orders"), F.countDistinct("user_id").alias("total_users"))
-                  .orderBy("eval_set"))
+                  .orderBy(*asc("eval_set")))
 
 
 # ------------------------------------------------------------------ KPI cards
@@ -220,18 +226,18 @@ def _named(df: DataFrame, query_id: str) -> DataFrame:
 def viz_orders_by_dow(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     g = orders.groupBy("order_dow", "order_dow_name").agg(_n().alias("n"))
     return _named(g.select("order_dow", "order_dow_name", "n")
-                   .orderBy("order_dow", "order_dow_name"), "viz_orders_by_dow")
+                   .orderBy(*asc("order_dow", "order_dow_name")), "viz_orders_by_dow")
 
 
 def viz_orders_by_hour(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    g = orders.groupBy("order_hour_of_day").agg(_n().alias("n")).orderBy("order_hour_of_day")
+    g = orders.groupBy("order_hour_of_day").agg(_n().alias("n")).orderBy(*asc("order_hour_of_day"))
     return _named(g, "viz_orders_by_hour")
 
 
 def viz_heatmap(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     g = (_dow_hour(orders)
          .select("order_dow_name", "order_dow", "order_hour_of_day", "n")
-         .orderBy("order_dow", "order_hour_of_day", "order_dow_name"))
+         .orderBy(*asc("order_dow", "order_hour_of_day", "order_dow_name")))
     return _named(g, "viz_heatmap")
 
 
@@ -248,7 +254,7 @@ def viz_heatmap_pivot(orders: DataFrame, items: DataFrame | None = None) -> Data
                .pivot("order_hour_of_day", HOURS).agg(_n()))
     cells = [F.coalesce(F.col(str(h)), F.lit(0)).alias(f"h{h:02d}") for h in HOURS]
     return (p.select("order_dow", F.col("order_dow_name").alias("day"), *cells)
-             .orderBy("order_dow", "day"))
+             .orderBy(*asc("order_dow", "day")))
 
 
 def viz_gap_days_hist(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
@@ -256,7 +262,7 @@ def viz_gap_days_hist(orders: DataFrame, items: DataFrame | None = None) -> Data
     (fractional gaps can therefore give repeated labels)."""
     g = (orders.filter(F.col("days_since_prior_order").isNotNull())
                .groupBy("days_since_prior_order").agg(_n().alias("n"))
-               .orderBy("days_since_prior_order"))
+               .orderBy(*asc("days_since_prior_order")))
     return _named(g.select(F.bround("days_since_prior_order", 0).cast("double"), "n"),
                   "viz_gap_days_hist")
 
@@ -266,7 +272,7 @@ def viz_top_products(orders: DataFrame | None, items: DataFrame, k: int = TOP_K)
     g = (_product_stats(items, keys)
          .select(*keys, "times_ordered", "times_reordered",
                  ratio_pct(F.col("_mean_reordered")).alias("r"))
-         .orderBy(F.desc("times_ordered"), *keys).limit(k))
+         .orderBy(F.desc("times_ordered"), *asc(*keys)).limit(k))
     return _named(g, "viz_top_products")
 
 
@@ -278,12 +284,12 @@ def viz_top_reorder_rate(orders: DataFrame | None, items: DataFrame,
               .agg(_n().alias("times_ordered"),
                    ratio_pct(F.avg("reordered")).alias("r"))
               .filter(F.col("times_ordered") >= min_orders)
-              .orderBy(F.desc("r"), *keys).limit(k))
+              .orderBy(F.desc("r"), *asc(*keys)).limit(k))
     return _named(g.select(*keys, "times_ordered", "r"), "viz_top_reorder_rate")
 
 
 def viz_basket_size(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    g = orders.groupBy("total_items").agg(_n().alias("n")).orderBy("total_items")
+    g = orders.groupBy("total_items").agg(_n().alias("n")).orderBy(*asc("total_items"))
     return _named(g, "viz_basket_size")
 
 
@@ -291,12 +297,12 @@ def viz_departments(orders: DataFrame | None, items: DataFrame) -> DataFrame:
     g = (_department_stats(items)
          .select("department", "items_ordered", "unique_products", "reordered_count",
                  ratio_pct(F.col("_mean_reordered")).alias("r"))
-         .orderBy(F.desc("items_ordered"), "department"))
+         .orderBy(F.desc("items_ordered"), *asc("department")))
     return _named(g, "viz_departments")
 
 
 def viz_top_aisles(orders: DataFrame | None, items: DataFrame, k: int = TOP_K) -> DataFrame:
-    g = _aisle_stats(items).orderBy(F.desc("items_ordered"), "aisle", "department").limit(k)
+    g = _aisle_stats(items).orderBy(F.desc("items_ordered"), *asc("aisle", "department")).limit(k)
     return _named(g, "viz_top_aisles")
 
 
@@ -304,7 +310,7 @@ def viz_dept_reorder_rate(orders: DataFrame | None, items: DataFrame) -> DataFra
     g = (items.groupBy("department")
               .agg(_n().alias("total_items"), F.sum("reordered").alias("reordered"),
                    ratio_pct(F.avg("reordered")).alias("r"))
-              .orderBy(F.desc("r"), "department"))
+              .orderBy(F.desc("r"), *asc("department")))
     return _named(g, "viz_dept_reorder_rate")
 
 
@@ -315,14 +321,14 @@ def viz_top_users(orders: DataFrame, items: DataFrame | None = None, k: int = TO
          .select("user_id", "total_orders", "total_items_ordered", "max_order_number",
                  "avg_days_between_orders",
                  F.bround(F.col("_mean_order_reorder_pct"), 1).alias("r"))
-         .orderBy(F.desc("total_orders"), "user_id").limit(k))
+         .orderBy(F.desc("total_orders"), *asc("user_id")).limit(k))
     return _named(g, "viz_top_users")
 
 
 def viz_cart_position(orders: DataFrame | None, items: DataFrame) -> DataFrame:
     g = (_cart_positions(items)
          .select("add_to_cart_order", "times_ordered", "reorder_rate_pct")
-         .orderBy("add_to_cart_order"))
+         .orderBy(*asc("add_to_cart_order")))
     return _named(g, "viz_cart_position")
 
 
