@@ -9,9 +9,10 @@ splitting any key across many tasks:
    key into several slices, each a contiguous run of its ordering;
 2. number rows and take the lag inside each ``(slice, key)`` run — groups are
    bounded by slice size;
-3. per ``(key, slice)`` keep the run length and the last ordering value — at
-   most ``#keys + #slices`` rows — and turn them into a starting offset and the
-   predecessor of each run with a window over ``key`` (≤ #slices rows per key);
+3. per ``(key, slice)`` keep the run length and the last row's value (read
+   off the run's last row, same partitioning) — at most ``#keys + #slices``
+   rows — and turn them into a starting offset and the predecessor of each run
+   with a window over ``key`` (≤ #slices rows per key);
 4. join the offsets back on ``(key, slice)``.
 
 The slicing is cut from its lineage with a reliable ``checkpoint()`` (to the
@@ -46,13 +47,16 @@ def number_within_groups(df: DataFrame, key: str, order: list[str], lag_col: str
                 .withColumn("_slice", F.spark_partition_id())
                 .checkpoint(eager=True))
     w_local = Window.partitionBy("_slice", key).orderBy(*order_cols)
+    w_run = Window.partitionBy("_slice", key)
     local = (sliced
              .withColumn("_lrn", F.row_number().over(w_local))
-             .withColumn("_lprev", F.lag(lag_col).over(w_local)))
+             .withColumn("_lprev", F.lag(lag_col).over(w_local))
+             .withColumn("_n", F.count(F.lit(1)).over(w_run)))
 
-    runs = (local.groupBy(key, "_slice")
-                 .agg(F.count(F.lit(1)).alias("_n"),
-                      F.max_by(F.col(lag_col), F.struct(*order_cols)).alias("_last")))
+    # the last row of each run carries its length and last value; both windows
+    # share one partitioning and sort, so this needs no further shuffle or sort
+    runs = (local.filter(F.col("_lrn") == F.col("_n"))
+                 .select(key, "_slice", "_n", F.col(lag_col).alias("_last")))
     w_runs = Window.partitionBy(key).orderBy("_slice")
     offsets = (runs
                .withColumn("_offset", F.coalesce(
@@ -65,5 +69,5 @@ def number_within_groups(df: DataFrame, key: str, order: list[str], lag_col: str
                 .withColumn(seq_name, (F.col("_lrn") + F.col("_offset")).cast("long"))
                 .withColumn(prev_name, F.when(F.col("_lrn") == 1, F.col("_run_prev"))
                                         .otherwise(F.col("_lprev")))
-                .drop("_slice", "_lrn", "_lprev", "_offset", "_run_prev"))
+                .drop("_slice", "_lrn", "_lprev", "_n", "_offset", "_run_prev"))
     return out
