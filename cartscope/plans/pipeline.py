@@ -31,12 +31,14 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
                  mode: str = "lenient", load_mode: str = "overwrite",
                  multi_line: bool = False, fail_on_invalid: bool = True,
-                 require_nonempty: bool = False) -> PipelineResult:
+                 require_nonempty: bool = False, skip_empty: bool = False) -> PipelineResult:
     """Flatten every landed payload document under ``landing`` into
     ``warehouse/orders`` and ``warehouse/order_items``; rejects go to
     ``warehouse/_rejects``. Raises when the count reconciliation fails
     (``fail_on_invalid``, the scheduled pipeline's check) and, with
-    ``require_nonempty``, when a loaded table is empty (the runner's check)."""
+    ``require_nonempty``, when a loaded table is empty (the runner's check).
+    ``skip_empty`` leaves a table untouched when the transform produced no rows
+    for it (the scheduled pipeline's load); its expected count is then 0."""
     parsed = read_orders_payload(spark, landing, multi_line, mode=mode) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -46,7 +48,8 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
         # transform counts are observed while the load writes: no second pass
         obs = {t: Observation(f"transform_{t}") for t in ("orders", "order_items")}
         files = file_count(spark, [landing])
-        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs, files=files)
+        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs,
+                     files=files, skip_empty=skip_empty)
     finally:
         parsed.unpersist()
     expected = spark.createDataFrame(
