@@ -18,6 +18,8 @@ def count_table(spark: SparkSession, pairs: list[tuple[str, DataFrame]]) -> Data
     for table, df in pairs:
         c = _count(df, table)
         out = c if out is None else out.unionByName(c)
+    if out is None:
+        out = spark.createDataFrame([], "table_name string, n long")
     return out
 
 

@@ -49,3 +49,13 @@ def test_run_pipeline_raw_rejects(spark, scratch):
     r = run_pipeline(spark, land, wh, mode="raw")
     rej = spark.read.parquet(r.rejects).collect()
     assert [(x.order_id, x.reason) for x in rej] == [(3, "payload is a list")]
+
+
+def test_run_pipeline_empty_payload_skip_empty(spark, scratch):
+    from cartscope.plans.pipeline import run_pipeline
+    land = _land(scratch, [{"orders": [], "total_orders": 0}])
+    wh = os.path.join(scratch, uuid.uuid4().hex)
+    r = run_pipeline(spark, land, wh, skip_empty=True)
+    assert all(x.ok for x in r.validation.collect())          # nothing expected
+    assert {x.table_name for x in r.validation.collect()} == {"orders", "order_items"}
+    assert not os.path.exists(os.path.join(wh, "orders"))
