@@ -57,7 +57,8 @@ def main() -> None:
         orders, items = warehouse_tables(spark, SF_DIR)
         for df in refresh(spark, orders, items).values():
             df.write.format("noop").mode("overwrite").save()
-    # the whole dashboard (36 series) from first-level aggregates, one scan each
+    # the whole dashboard (36 series); fused from first-level aggregates when
+    # the tables are large enough for that to pay off (see plans/dashboard.py)
     jobs["dashboard_refresh_all"] = refresh_all
 
     timings = {}

@@ -45,6 +45,10 @@ from cartscope.plans import metrics as M
 from cartscope.session import scratch_path
 
 
+# every series the refresh returns: all metric and insight queries
+SERIES = list(M.METRICS) + list(R.INSIGHTS)
+
+
 def _n() -> F.Column:
     return F.count(F.lit(1))
 
@@ -250,7 +254,34 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     return out
 
 
+# Below this much input, scanning the tables again is cheaper than the extra
+# jobs that write and re-read the first-level aggregates.
+FUSE_MIN_BYTES = 1 << 30
+
+
+def _input_size(spark: SparkSession, *dfs: DataFrame) -> int:
+    from cartscope.session import input_bytes
+    return sum(input_bytes(spark, df.inputFiles()) for df in dfs)
+
+
+def direct(orders: DataFrame, items: DataFrame,
+           keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
+    """Every series as its own query over the tables (no shared aggregates)."""
+    out = {name: fn(orders, items) for name, fn in M.METRICS.items()
+           if name in SERIES}
+    for name, fn in R.INSIGHTS.items():
+        out[name] = (fn(orders, items, keyword=keyword) if name == "insight_keyword_share"
+                     else fn(orders, items))
+    return out
+
+
 def refresh(spark: SparkSession, orders: DataFrame, items: DataFrame,
-            keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
-    """All dashboard series; the tables are scanned once per first-level aggregate."""
+            keyword: str = R.DEFAULT_KEYWORD, fuse: bool | None = None) -> dict[str, DataFrame]:
+    """All dashboard series. Fused (each table scanned once per first-level
+    aggregate) when ``fuse`` is true, or — by default — when the tables hold at
+    least ``FUSE_MIN_BYTES``; otherwise each series queries the tables directly."""
+    if fuse is None:
+        fuse = _input_size(spark, orders, items) >= FUSE_MIN_BYTES
+    if not fuse:
+        return direct(orders, items, keyword)
     return series(materialise(spark, first_level(orders, items)), keyword)

@@ -8,8 +8,10 @@ def test_refresh_equals_direct_queries(spark):
     from cartscope.registry import QUERIES, REGISTERED_KEYWORD
     from cartscope.sources.warehouse import warehouse_tables
     orders, items = warehouse_tables(spark, SF_SMALL)
-    fused = refresh(spark, orders, items, keyword=REGISTERED_KEYWORD)
+    fused = refresh(spark, orders, items, keyword=REGISTERED_KEYWORD, fuse=True)
     assert len(fused) == 36
+    plain = refresh(spark, orders, items, keyword=REGISTERED_KEYWORD)   # small input
+    assert set(plain) == set(fused)
     for name, df in fused.items():
         direct = QUERIES[name](spark, SF_SMALL)
         assert df.columns == direct.columns, name
