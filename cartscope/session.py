@@ -10,7 +10,6 @@ machine-local folder would not be visible to other executors.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -134,8 +133,3 @@ def file_count(spark: SparkSession, paths: list[str], bytes_per_file: int = TARG
     slot, so a 100 TB input is written as ~400k files, not 200 huge ones."""
     n = -(-input_bytes(spark, paths) // bytes_per_file)
     return max(int(n), spark.sparkContext.defaultParallelism, 1)
-
-
-def local_dir_for_tests() -> str:
-    """Per-run scratch folder for pytest (never cleared with rm)."""
-    return tempfile.mkdtemp(prefix="cartscope-test-", dir=os.environ.get("TMPDIR", "/tmp"))

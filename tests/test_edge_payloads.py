@@ -1,9 +1,6 @@
 """Hand-made edge payloads E1–E24 (FIXTURES.md §2), both flatten modes."""
 
-import math
-
 import pytest
-from pyspark.sql import functions as F
 
 
 def order(**kw):
