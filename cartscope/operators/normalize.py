@@ -90,6 +90,7 @@ def cast_targets(mode: str) -> dict[str, str]:
     """Column name -> struct type of the one-pass cast a mode needs."""
     return {"t": LENIENT_ORDER_TYPE if mode == "lenient" else RAW_ORDER_TYPE}
 
+
 _EMPTY = "array<{}>"
 
 
@@ -162,7 +163,6 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
 def _item_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
     """Typed item columns and checks over the inlined item struct fields."""
     checks: list[tuple[Column, str]] = []
-
     c = F.col
     if mode == "lenient":
         cols = {n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in _ITEM_INTS + ("reordered",)}
@@ -198,10 +198,10 @@ _ITEM_TYPES = {"order_id": "long", "user_id": "long", "product_id": "long",
 def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
     """``orders_v`` has one VARIANT order per row in column ``o`` and
     ``doc_is_list`` — ideally from ``read_orders_payload(..., mode=mode)``,
-    which also carries the mode's one-pass casts (``t``, and ``tp`` in raw
-    mode). Orders and items are then plain column expressions over those
-    structs, and the items come from ``inline`` of the typed product array —
-    no per-field path lookups in the hot loop.
+    which also carries the mode's one-pass cast ``t`` (done once per document,
+    before the explode). Orders and items are then plain column expressions
+    over that struct, and the items come from ``inline`` of its typed product
+    array — no per-field path lookups in the hot loop.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
