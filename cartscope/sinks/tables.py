@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cartscope.operators.normalize import fill_load_defaults
-from cartscope.session import make_dirs
+from cartscope.session import make_dirs, work_root
 from cartscope.schema import (
     ORDER_ITEMS_SCHEMA, ORDER_ITEMS_SORT_KEY, ORDERS_SCHEMA, ORDERS_SORT_KEY,
 )
@@ -66,9 +66,12 @@ def _ddl_columns(table: str) -> str:
                      for f in SCHEMAS[table].fields)
 
 
-def create_database(spark: SparkSession, database: str = "ecommerce") -> None:
-    """Create the database if absent."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_database(spark: SparkSession, database: str = "ecommerce",
+                    location: str | None = None) -> None:
+    """Create the database if absent, located under the shared work folder
+    unless ``location`` says otherwise (never in the process's current folder)."""
+    loc = location or f"{work_root(spark)}/cartscope/databases/{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{loc}'")
 
 
 def create_table(spark: SparkSession, table: str, name: str, location: str) -> None:
