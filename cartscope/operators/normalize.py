@@ -44,6 +44,8 @@ class Flattened:
     orders: DataFrame
     items: DataFrame
     rejects: DataFrame
+    staged: DataFrame | None = None   # one row per order with ``_reason``, ``products``
+    mode: str = "lenient"
 
 
 def _out_of_range(c: Column, name: str) -> Column:
@@ -160,10 +162,10 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
     return cols, checks, products
 
 
-def _item_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
-    """Typed item columns and checks over the inlined item struct fields."""
+def _item_level(mode: str, c=F.col) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
+    """Typed item columns and checks; ``c(name)`` gives an item field (a column
+    after ``inline``, or a struct field inside a higher-order function)."""
     checks: list[tuple[Column, str]] = []
-    c = F.col
     if mode == "lenient":
         cols = {n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in _ITEM_INTS + ("reordered",)}
         for n in _ITEM_TEXTS:
@@ -234,23 +236,36 @@ def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
         *[F.col(n).cast(_ITEM_TYPES[n]).alias(n) if n in _ITEM_TYPES else F.col(n)
           for n in ORDER_ITEMS_COLUMNS])
 
-    order_rejects = staged.filter(F.col("_reason").isNotNull()).select(
-        F.lit(mode).alias("mode"), F.lit("order").alias("stage"),
-        F.col("_reason").alias("reason"), F.col("order_id").cast("long").alias("order_id"),
-        F.to_json("o").alias("record"))
-    item_rejects = items_staged.filter(F.col("_reason").isNotNull()).select(
-        F.lit(mode).alias("mode"), F.lit("item").alias("stage"),
-        F.col("_reason").alias("reason"), F.col("order_id").cast("long").alias("order_id"),
-        F.to_json(F.to_variant_object("p")).alias("record"))
-    return Flattened(orders, items, order_rejects.unionByName(item_rejects))
+    # Rejects in one pass over the orders: a rejected order yields one row;
+    # an accepted order yields one row per failing product, found by running
+    # the item checks inside higher-order functions on its product array.
+    def item_reason(p: Column) -> Column:
+        return _first_reason(_item_level(mode, lambda n: p[n])[1])
+
+    def reject(stage: str, reason: Column, record: Column) -> Column:
+        return F.struct(F.lit(stage).alias("stage"), reason.alias("reason"),
+                        record.alias("record"))
+    bad_items = F.transform(
+        F.filter("products", lambda p: item_reason(p).isNotNull()),
+        lambda p: reject("item", item_reason(p), F.to_json(F.to_variant_object(p))))
+    per_order = F.when(F.col("_reason").isNotNull(),
+                       F.array(reject("order", F.col("_reason"), F.to_json("o")))) \
+                 .otherwise(bad_items)
+    rejects = (staged.select(F.col("order_id").cast("long").alias("order_id"),
+                             F.explode(per_order).alias("r"))
+                     .select(F.lit(mode).alias("mode"), "r.stage", "r.reason", "order_id",
+                             "r.record"))
+    return Flattened(orders, items, rejects, staged, mode)
 
 
 def transform_summary(flat: Flattened, with_timestamp: bool = True) -> DataFrame:
-    """Row counts of both outputs (one row, one aggregate over a union)."""
-    tagged = (flat.orders.select(F.lit(1).alias("_o"), F.lit(0).alias("_i"))
-              .unionByName(flat.items.select(F.lit(0).alias("_o"), F.lit(1).alias("_i"))))
-    out = tagged.agg(F.sum("_o").cast("long").alias("order_count"),
-                     F.sum("_i").cast("long").alias("order_item_count"))
+    """Row counts of both outputs, in one aggregate over the accepted
+    orders (items counted per order with the item checks in a filter)."""
+    ok = flat.staged.filter(F.col("_reason").isNull())
+    passing = F.filter("products", lambda p: _first_reason(
+        _item_level(flat.mode, lambda n: p[n])[1]).isNull())
+    out = ok.agg(F.count(F.lit(1)).alias("order_count"),
+                 F.sum(F.size(passing)).cast("long").alias("order_item_count"))
     if with_timestamp:
         out = out.withColumn("processed_at", F.current_timestamp())
     return out
