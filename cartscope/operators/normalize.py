@@ -245,9 +245,12 @@ def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
     def reject(stage: str, reason: Column, record: Column) -> Column:
         return F.struct(F.lit(stage).alias("stage"), reason.alias("reason"),
                         record.alias("record"))
+    # each product's checks run once: tag, keep the failing ones, shape them
+    tagged = F.transform("products", lambda p: F.struct(item_reason(p).alias("why"),
+                                                        p.alias("p")))
     bad_items = F.transform(
-        F.filter("products", lambda p: item_reason(p).isNotNull()),
-        lambda p: reject("item", item_reason(p), F.to_json(F.to_variant_object(p))))
+        F.filter(tagged, lambda x: x["why"].isNotNull()),
+        lambda x: reject("item", x["why"], F.to_json(F.to_variant_object(x["p"]))))
     per_order = F.when(F.col("_reason").isNotNull(),
                        F.array(reject("order", F.col("_reason"), F.to_json("o")))) \
                  .otherwise(bad_items)
