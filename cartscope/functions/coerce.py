@@ -10,7 +10,9 @@ Two coercion regimes, one per flatten mode:
   ``"1.7"`` and ``true`` are invalid. The caller routes invalid rows to rejects.
 
 All of these are native expressions over the VARIANT binary; no Python runs
-per row.
+per row. They are the column-level API (one path lookup each); the flatten
+operator applies the same rules in bulk, casting each document's orders once
+to a struct type (``operators.normalize``), which is the same conversion.
 """
 
 from __future__ import annotations
