@@ -30,7 +30,7 @@ ETL_HEADLINE = ["read_orders_payload", "payload_summary", "flatten_orders",
 def main() -> None:
     from cartscope.plans.insights import INSIGHTS
     from cartscope.plans.metrics import METRICS
-    from cartscope.plans.pipeline import run_pipeline
+    from cartscope.plans.runner import run_etl
     from cartscope.registry import QUERIES
     from cartscope.session import get_spark, scratch_path
     from cartscope.sources.payload_fixture import ensure_landing
@@ -47,8 +47,8 @@ def main() -> None:
     jobs = {}
     jobs["etl_build_warehouse"] = lambda: build_warehouse(
         spark, SF_DIR, scratch_path(spark, "bench-warehouse"))
-    jobs["etl_pipeline"] = lambda: run_pipeline(
-        spark, landing, scratch_path(spark, "bench-pipeline"))
+    jobs["etl_end_to_end"] = lambda: run_etl(
+        spark, landing, scratch_path(spark, "bench-etl"))
     for name in list(METRICS) + list(INSIGHTS) + ETL_HEADLINE:
         jobs[name] = run_query(name)
 

@@ -12,7 +12,7 @@ Layout
 - ``cartscope.sources``    payload / staging / warehouse readers and the test-data adapter
 - ``cartscope.operators``  flatten (lenient / raw + rejects), validation, skew-safe sequencing
 - ``cartscope.sinks``      landing, staging and warehouse writers, table DDL
-- ``cartscope.plans``      metric library (overview, KPIs, dashboard series, insights), pipeline
+- ``cartscope.plans``      metric library (overview, KPIs, dashboard series, insights), ETL runner
 - ``cartscope.streaming``  incremental ingest of landed payload files
 """
 

@@ -21,17 +21,17 @@ from cartscope.sources.payload import read_orders_payload
 
 
 @dataclass
-class PipelineResult:
+class EtlResult:
     warehouse: str
     rejects: str
     validation: DataFrame          # V1 rows
     nonempty: DataFrame            # V2 rows
 
 
-def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
+def run_etl(spark: SparkSession, landing: str, warehouse: str,
                  mode: str = "lenient", load_mode: str = "overwrite",
                  multi_line: bool = False, fail_on_invalid: bool = True,
-                 require_nonempty: bool = False, skip_empty: bool = False) -> PipelineResult:
+                 require_nonempty: bool = False, skip_empty: bool = False) -> EtlResult:
     """Flatten every landed payload document under ``landing`` into
     ``warehouse/orders`` and ``warehouse/order_items``; rejects go to
     ``warehouse/_rejects``. Raises when the count reconciliation fails
@@ -62,4 +62,4 @@ def run_pipeline(spark: SparkSession, landing: str, warehouse: str,
         V.assert_valid(checks, "count reconciliation")
     if require_nonempty:
         V.assert_valid(nonempty, "non-empty check")
-    return PipelineResult(warehouse, rejects_path, checks, nonempty)
+    return EtlResult(warehouse, rejects_path, checks, nonempty)

@@ -28,34 +28,34 @@ DOCS = [
 ]
 
 
-def test_run_pipeline(spark, scratch):
-    from cartscope.plans.pipeline import run_pipeline
+def test_run_etl(spark, scratch):
+    from cartscope.plans.runner import run_etl
     land = _land(scratch, DOCS)
     wh = os.path.join(scratch, uuid.uuid4().hex)
-    r = run_pipeline(spark, land, wh)
+    r = run_etl(spark, land, wh)
     assert {x.table_name: (x.expected, x.loaded, x.ok) for x in r.validation.collect()} == {
         "orders": (3, 3, True), "order_items": (2, 2, True)}
     orders = spark.read.parquet(f"{wh}/orders")
     assert sorted(o.order_id for o in orders.collect()) == [1, 2, 3]
     # rerun: snapshot load is idempotent
-    run_pipeline(spark, land, wh)
+    run_etl(spark, land, wh)
     assert spark.read.parquet(f"{wh}/orders").count() == 3
 
 
-def test_run_pipeline_raw_rejects(spark, scratch):
-    from cartscope.plans.pipeline import run_pipeline
+def test_run_etl_raw_rejects(spark, scratch):
+    from cartscope.plans.runner import run_etl
     land = _land(scratch, DOCS)
     wh = os.path.join(scratch, uuid.uuid4().hex)
-    r = run_pipeline(spark, land, wh, mode="raw")
+    r = run_etl(spark, land, wh, mode="raw")
     rej = spark.read.parquet(r.rejects).collect()
     assert [(x.order_id, x.reason) for x in rej] == [(3, "payload is a list")]
 
 
-def test_run_pipeline_empty_payload_skip_empty(spark, scratch):
-    from cartscope.plans.pipeline import run_pipeline
+def test_run_etl_empty_payload_skip_empty(spark, scratch):
+    from cartscope.plans.runner import run_etl
     land = _land(scratch, [{"orders": [], "total_orders": 0}])
     wh = os.path.join(scratch, uuid.uuid4().hex)
-    r = run_pipeline(spark, land, wh, skip_empty=True)
+    r = run_etl(spark, land, wh, skip_empty=True)
     assert all(x.ok for x in r.validation.collect())          # nothing expected
     assert {x.table_name for x in r.validation.collect()} == {"orders", "order_items"}
     assert not os.path.exists(os.path.join(wh, "orders"))
