@@ -66,7 +66,9 @@ def sequenced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part -> product attributes. The department index ranks the *distinct*
-    types, whose count is bounded by the 8-bit department id domain."""
+    types in one window partition: a set bounded by the 8-bit department id
+    domain (at most 255 valid ids), never the data itself. (Numbering it with
+    the skew-safe operator instead was measured: +3 s at sf0.1 for 6 rows.)"""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     types = part.select("p_type").distinct()
     ranked = types.withColumn(
