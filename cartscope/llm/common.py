@@ -99,14 +99,20 @@ def text_chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES
         i = j
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> Words:
+#: Separators that leave runs of letters, digits and non-ASCII bytes.
+NOT_ALNUM = np.ones(256, dtype=bool)
+NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = NOT_ALNUM[128:] = False
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray, fold_case: bool,
+                separators: np.ndarray = _SPACE) -> Words:
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; with
-    ``fold_case`` A-Z hash as a-z."""
+    ``fold_case`` A-Z hash as a-z. ``separators`` flags the bytes between words."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return Words(data, z, z, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     first = np.empty(n, dtype=bool)
     first[0] = True
     first[1:] = ~inside[:-1]

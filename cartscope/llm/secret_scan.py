@@ -219,10 +219,10 @@ def _oracle() -> str:
         p = r.java().replace("'", "''")
         keep = f"WHERE length(g) >= {r.group_min}" if r.group_min else ""
         parts.append(f"""
-  SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, at AS start, at + length(m) AS stop FROM (
+  SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, pos AS start, pos + length(m) AS stop FROM (
     SELECT doc_id, m[i] AS m, g[i] AS g,
            coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
-           + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS at
+           + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS pos
     FROM (SELECT doc_id, m, g, p, unnest(range(1, len(m) + 1)) AS i FROM (
       SELECT doc_id, regexp_extract_all(t, '{p}') AS m,
              regexp_extract_all(t, '{p}', {1 if r.group_min else 0}) AS g,

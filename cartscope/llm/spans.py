@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once a row."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 
@@ -24,7 +29,9 @@ def match_spans(text: Column, pattern: str, kind: str, rank: int, keep=None) ->
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     grouped = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if keep and keep[0] == "group" else whole
-    pairs = F.arrays_zip(whole.alias("m"), F.slice(between, F.lit(1), F.size(whole)).alias("p"), grouped.alias("g"))
+    # one piece more than matches: the rest of the text has no match after it
+    pairs = F.filter(F.arrays_zip(whole.alias("m"), between.alias("p"), grouped.alias("g")),
+                     lambda x: x["m"].isNotNull())
     start = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
