@@ -17,8 +17,9 @@ is verified by exact banded edit distance.
 
 The key is evaluated step by step: a window whose first samples already differ
 from those of every item is dropped at once. Before the walk, windows with
-fewer benchmark words than any item within its edits needs are dropped; that
-condition is implied by the edit distance and loses nothing.
+fewer benchmark words, or fewer of the benchmark's rarer words, than any item
+within its edits must leave are dropped; that condition is implied by the edit
+distance and loses nothing.
 
 Recall: an exact copy meets its item in the first round. With the default
 rounds and samples, items with edits up to the limit are met with probability
@@ -46,9 +47,10 @@ from cartscope.llm.common import (NOT_ALNUM, groups_for, id_and_text, read_docum
                                   ship_package, split_words, text_bytes, text_chunks)
 
 RATE = 0.2
-ROUNDS, SAMPLES = 24, 5
+ROUNDS, SAMPLES = 20, 5
 BLOCK_BYTES = 32 << 20
-_END = np.uint64(0x5851F42D4C957F2D)  # read beyond the end of a text
+# read beyond the end of a text, and for a word that no item has
+_END, _OTHER = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 
 
 @dataclass
@@ -56,12 +58,31 @@ class ItemClass:
     """Items of similar length with their walks and keys."""
     shortest: int
     ids: list[int]
-    words: list[np.ndarray]  # hashes
+    words: list[np.ndarray]  # vocabulary ids
     steps: np.ndarray  # rounds x samples, sorted
     salts: np.ndarray  # rounds x steps, odd multipliers for the walk's bits
     reads: np.ndarray  # rounds x samples x items: the words read
 
 
+class Vocabulary:
+    """Benchmark words as small ids; the last two ids are any other word and
+    the end of a text. ``codes`` feed the walk's random bits."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.hashes = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
+        self.other, self.end = len(self.hashes), len(self.hashes) + 1
+        self.codes = np.concatenate([self.hashes, np.array([_OTHER, _END], dtype=np.uint64)])
+        held = np.bincount(np.concatenate([np.searchsorted(self.hashes, np.unique(w)) for w in items]),
+                           minlength=len(self.codes)) if items else np.zeros(2)
+        # words of few items; any split would be right, this one makes the filter sharp
+        self.rare = (held > 0) & (held <= max(2, len(items) // 20))
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.hashes, hashes)
+        place[place == len(self.hashes)] = 0
+        return np.where(self.hashes[place] == hashes, place, self.other).astype(np.int32)
+
+
 def _item_words(texts: list[str]) -> list[np.ndarray]:
     raw = [t.encode("utf-8") for t in texts]
     off = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
@@ -69,26 +90,34 @@ def _item_words(texts: list[str]) -> list[np.ndarray]:
     return [words.hashes[a:b] for a, b in zip(words.doc[:-1], words.doc[1:])]
 
 
-def _walk(words: np.ndarray, start: np.ndarray, stop: np.ndarray, steps, salts):
-    """Yield what walks from ``start`` read at each of the sorted ``steps``.
-    The receiver may send back a mask of the walks to go on with."""
+def _walk(words: np.ndarray, start: np.ndarray, stop: np.ndarray, steps, moves: np.ndarray, end: int):
+    """Yield what walks from ``start`` read at each of the sorted ``steps``;
+    ``moves[step, word]`` is the random bit. The receiver may send back a mask
+    of the walks to go on with."""
     pos, step = start.copy(), 0
+
+    def read():
+        return np.where(pos < stop, words[np.minimum(pos, len(words) - 1)], end)
+
     for s in steps:
         while step < s:
-            inside = pos < stop
-            read = np.where(inside, words[np.minimum(pos, len(words) - 1)], _END)
-            pos = pos + ((read * salts[step]) >> np.uint64(63)).astype(np.int64)
+            pos = pos + moves[step][read()]
             step += 1
-        inside = pos < stop
-        keep = yield np.where(inside, words[np.minimum(pos, len(words) - 1)], _END)
+        keep = yield read()
         if keep is not None:
             pos, stop = pos[keep], stop[keep]
 
 
+def _moves(vocabulary: Vocabulary, salts: np.ndarray) -> np.ndarray:
+    return ((vocabulary.codes[None, :] * salts[:, None]) >> np.uint64(63)).astype(np.int8)
+
+
 def build_classes(items: list[tuple[int, str]], rounds: int = ROUNDS, samples: int = SAMPLES,
-                  seed: int = 11) -> list[ItemClass]:
+                  seed: int = 11) -> tuple[Vocabulary, list[ItemClass]]:
     by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for (item_id, _), words in zip(items, _item_words([t for _, t in items])):
+    hashed = _item_words([t for _, t in items])
+    vocabulary = Vocabulary(hashed)
+    for (item_id, _), words in zip(items, map(vocabulary.ids, hashed)):
         if len(words):
             by_size.setdefault(int(len(words)).bit_length(), []).append((item_id, words))
     out = []
@@ -97,54 +126,76 @@ def build_classes(items: list[tuple[int, str]], rounds: int = ROUNDS, samples: i
         shortest = min(len(w) for _, w in members)
         horizon = 2 * shortest  # a walk reads two steps a word on average
         take = min(samples, horizon)
-        steps = np.sort(np.stack([rng.permutation(horizon)[:take] for _ in range(rounds)]), axis=1)
+        # one step in each of equal stretches, the first stretch a short one: most
+        # windows are dropped by their first read
+        edges = np.concatenate([[0], np.linspace(min(6, horizon - take + 1), horizon, take)]).astype(int)
+        steps = np.stack([rng.integers(edges[:-1], edges[1:]) for _ in range(rounds)])
         salts = rng.integers(0, 1 << 63, (rounds, horizon), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         flat = np.concatenate([w for _, w in members])
         stop = np.cumsum([len(w) for _, w in members])
         start = stop - np.array([len(w) for _, w in members])
-        reads = np.stack([np.stack(list(_walk(flat, start, stop, steps[r], salts[r]))) for r in range(rounds)])
+        reads = np.stack([np.stack(list(_walk(flat, start, stop, steps[r], _moves(vocabulary, salts[r]), vocabulary.end)))
+                          for r in range(rounds)])
         out.append(ItemClass(shortest, [i for i, _ in members], [w for _, w in members], steps, salts, reads))
-    return out
-
-
-def _alive(known: np.ndarray, doc_stop: np.ndarray, cls: ItemClass, rate: float) -> np.ndarray:
-    """Window starts with enough benchmark words for some item length."""
-    total = np.concatenate([[0], np.cumsum(known)])
-    at = np.arange(len(known))
-    ok = np.zeros(len(known), dtype=bool)
-    for n in {len(w) for w in cls.words}:
+    return vocabulary, out
+
+
+def _running(flags: np.ndarray, reach: int) -> np.ndarray:
+    total = np.zeros(len(flags) + 1 + reach, dtype=np.int32)
+    np.cumsum(flags, out=total[1:len(flags) + 1])
+    total[len(flags) + 1:] = total[len(flags)]
+    return total
+
+
+def _alive(ids: np.ndarray, vocabulary: Vocabulary, cls: ItemClass, rate: float) -> np.ndarray:
+    """Window starts with as many benchmark words, and as many of the benchmark's
+    rarer words, as some item within its edits must leave. Words beyond the end
+    of the document count too; that only keeps more."""
+    need = {}
+    for w in cls.words:
+        need[len(w)] = min(need.get(len(w), len(w)), int(vocabulary.rare[w].sum()))
+    longest = max(need)
+    reach = longest + int(rate * longest)
+    known = _running(ids != vocabulary.other, reach)
+    rare = _running(vocabulary.rare[ids], reach)
+    at = len(ids)
+    ok = np.zeros(at, dtype=bool)
+    for n, r in need.items():
         e = int(rate * n)
-        ok |= total[np.minimum(at + n + e, doc_stop)] - total[:-1] >= n - e
+        ok |= ((rare[n + e:n + e + at] - rare[:at]) >= r - e) & ((known[n + e:n + e + at] - known[:at]) >= n - e)
     return ok
 
 
-def _meetings(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, cls: ItemClass) -> set[tuple[int, int]]:
+def _meetings(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, cls: ItemClass,
+              vocabulary: Vocabulary) -> set[tuple[int, int]]:
     """(start, item index) pairs whose keys meet in some round."""
     found: set[tuple[int, int]] = set()
+    samples = cls.steps.shape[1]
     for r in range(len(cls.steps)):
-        at, walk, prefix = starts, _walk(words, starts, stops, cls.steps[r], cls.salts[r]), None
-        keep, read = None, next(walk)
-        mine = None
-        for s in range(cls.steps.shape[1]):
-            want = cls.reads[r, s] if s == 0 else _fold(prefix, cls.reads[r, s])
-            have = read if s == 0 else _fold(mine, read)
-            keep = np.isin(have, want)
-            at, mine, prefix = at[keep], have[keep], want
+        walk = _walk(words, starts, stops, cls.steps[r], _moves(vocabulary, cls.salts[r]), vocabulary.end)
+        at, read = starts, next(walk)
+        first = np.zeros(len(vocabulary.codes), dtype=bool)
+        first[cls.reads[r, 0]] = True
+        keep = first[read]
+        at, mine, want = at[keep], read[keep].astype(np.uint64), cls.reads[r, 0].astype(np.uint64)
+        for s in range(1, samples):
             if not len(at):
                 break
-            if s + 1 < cls.steps.shape[1]:
-                read = walk.send(keep)
+            read = walk.send(keep)
+            want, mine = _fold(want, cls.reads[r, s]), _fold(mine, read)
+            keep = np.isin(mine, want)
+            at, mine = at[keep], mine[keep]
         if len(at):
-            order = np.argsort(prefix, kind="stable")
-            lo = np.searchsorted(prefix[order], mine, side="left")
-            hi = np.searchsorted(prefix[order], mine, side="right")
+            order = np.argsort(want, kind="stable")
+            lo = np.searchsorted(want[order], mine, side="left")
+            hi = np.searchsorted(want[order], mine, side="right")
             for a, x, y in zip(at.tolist(), lo.tolist(), hi.tolist()):
                 found.update((a, int(i)) for i in order[x:y])
     return found
 
 
 def _fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b
+    return (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
 
 
 def window_distance(item: np.ndarray, text: np.ndarray, limit: int) -> tuple[int, int] | None:
@@ -165,27 +216,22 @@ def window_distance(item: np.ndarray, text: np.ndarray, limit: int) -> tuple[int
     return (best, int(row.argmin())) if best <= limit else None
 
 
-def _finder(classes: list[ItemClass], rate: float):
-    vocabulary = np.unique(np.concatenate([w for c in classes for w in c.words]))
-
+def _finder(vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
     def find(batches):
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             rows = []
             for i, _, data, off in text_chunks(batch.column(batch.schema.get_field_index("text"))):
                 words = split_words(data, off, True, NOT_ALNUM)
-                h = words.hashes
-                if not len(h):
+                if not len(words.hashes):
                     continue
-                place = np.searchsorted(vocabulary, h)
-                place[place == len(vocabulary)] = 0
-                known = vocabulary[place] == h
+                h = vocabulary.ids(words.hashes)
                 doc = words.doc_of_word()
                 doc_stop = words.doc[doc + 1]
                 best: dict[tuple[int, int], tuple] = {}
                 for c in classes:
-                    starts = np.flatnonzero(_alive(known, doc_stop, c, rate))
-                    for start, k in _meetings(h, starts, doc_stop[starts], c):
+                    starts = np.flatnonzero(_alive(h, vocabulary, c, rate))
+                    for start, k in _meetings(h, starts, doc_stop[starts], c, vocabulary):
                         item = c.words[k]
                         got = window_distance(item, h[start:doc_stop[start]], int(rate * len(item)))
                         if got is not None and got[1] > 0:
@@ -218,10 +264,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE
     out = None
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        classes = build_classes([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()],
-                                rounds)  # about block_bytes of text
+        vocabulary, classes = build_classes([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()],
+                                            rounds)  # about block_bytes of text
         if classes:
-            part = base.mapInArrow(_finder(classes, rate), schema)
+            part = base.mapInArrow(_finder(vocabulary, classes, rate), schema)
             out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
