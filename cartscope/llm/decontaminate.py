@@ -216,39 +216,66 @@ def window_distance(item: np.ndarray, text: np.ndarray, limit: int) -> tuple[int
     return (best, int(row.argmin())) if best <= limit else None
 
 
+def _hits(texts: pa.Array, vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
+    """Yield ``(row, item_id, distance, start, stop, item_words)``: the nearest
+    window of each contaminated row and item."""
+    for i, _, data, off in text_chunks(texts):
+        words = split_words(data, off, True, NOT_ALNUM)
+        if not len(words.hashes):
+            continue
+        h = vocabulary.ids(words.hashes)
+        doc = words.doc_of_word()
+        doc_stop = words.doc[doc + 1]
+        best: dict[tuple[int, int], tuple] = {}
+        for c in classes:
+            starts = np.flatnonzero(_alive(h, vocabulary, c, rate))
+            for start, k in _meetings(h, starts, doc_stop[starts], c, vocabulary):
+                item = c.words[k]
+                got = window_distance(item, h[start:doc_stop[start]], int(rate * len(item)))
+                if got is not None and got[1] > 0:
+                    d = int(doc[start])
+                    first = int(start - words.doc[d])
+                    hit = (got[0], first, first + got[1], len(item))
+                    best[d, c.ids[k]] = min(best.get((d, c.ids[k]), hit), hit)
+        for (d, item_id), hit in sorted(best.items()):
+            yield (i + d, item_id, *hit)
+
+
 def _finder(vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
     def find(batches):
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            rows = []
-            for i, _, data, off in text_chunks(batch.column(batch.schema.get_field_index("text"))):
-                words = split_words(data, off, True, NOT_ALNUM)
-                if not len(words.hashes):
-                    continue
-                h = vocabulary.ids(words.hashes)
-                doc = words.doc_of_word()
-                doc_stop = words.doc[doc + 1]
-                best: dict[tuple[int, int], tuple] = {}
-                for c in classes:
-                    starts = np.flatnonzero(_alive(h, vocabulary, c, rate))
-                    for start, k in _meetings(h, starts, doc_stop[starts], c, vocabulary):
-                        item = c.words[k]
-                        got = window_distance(item, h[start:doc_stop[start]], int(rate * len(item)))
-                        if got is not None and got[1] > 0:
-                            d = int(doc[start])
-                            first = int(start - words.doc[d])
-                            hit = (got[0], first, first + got[1], len(item))
-                            key = (d, c.ids[k])
-                            best[key] = min(best.get(key, hit), hit)
-                for (d, item_id), hit in sorted(best.items()):
-                    rows.append((ids[i + d].as_py(), item_id, *hit))
+            rows = list(_hits(batch.column(batch.schema.get_field_index("text")), vocabulary, classes, rate))
             cols = list(zip(*rows)) if rows else [[]] * 6
-            order = (0, 1, 3, 4, 2, 5)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[k], pa.int64()) for k in order],
-                                             names=["doc_id", "item_id", "start", "stop", "distance", "item_words"])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(cols[0], pa.int64())), *(pa.array(cols[k], pa.int64()) for k in (1, 3, 4, 2, 5))],
+                names=["doc_id", "item_id", "start", "stop", "distance", "item_words"])
     return find
 
 
+def _cleaner(vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
+    def clean(batches):
+        for batch in batches:
+            good = np.ones(len(batch), dtype=bool)
+            for hit in _hits(batch.column(1), vocabulary, classes, rate):
+                good[hit[0]] = False
+            yield batch.filter(pa.array(good))
+    return clean
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int, rounds: int):
+    """The benchmark's items with their walks, in blocks of bounded text."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
+                             F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    blocks = groups_for(text_bytes(items), block_bytes)
+    for b in range(blocks):
+        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        vocabulary, classes = build_classes(
+            [(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()], rounds)
+        if classes:
+            yield vocabulary, classes
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id",
                        text_col: str = "text", block_bytes: int = BLOCK_BYTES, rounds: int = ROUNDS) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id``, the
@@ -257,25 +284,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE
     spark = docs.sparkSession
     ship_package(spark)
     base = id_and_text(docs, id_col, text_col)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
-                             F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    blocks = groups_for(text_bytes(items), block_bytes)
     schema = "doc_id long, item_id long, start long, stop long, distance long, item_words long"
     out = None
-    for b in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        vocabulary, classes = build_classes([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()],
-                                            rounds)  # about block_bytes of text
-        if classes:
-            part = base.mapInArrow(_finder(vocabulary, classes, rate), schema)
-            out = part if out is None else out.unionByName(part)
+    for vocabulary, classes in _blocks(benchmark, block_bytes, rounds):
+        part = base.mapInArrow(_finder(vocabulary, classes, rate), schema)
+        out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the contaminated documents, all columns."""
-    bad = find_contamination(docs, benchmark, id_col=id_col).select("doc_id").distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(bad["doc_id"]) if id_col != "doc_id" else "doc_id", "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text",
+                    block_bytes: int = BLOCK_BYTES, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` without the contaminated rows, all columns; no shuffle."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       docs[text_col].cast("string").alias("text"))
+    for vocabulary, classes in _blocks(benchmark, block_bytes, rounds):
+        rows = rows.mapInArrow(_cleaner(vocabulary, classes, rate), rows.schema)
+    return rows.select("row.*")
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartscope.llm.common import crc_mod, read_documents, ship_package, text_chunks
 
@@ -210,10 +211,24 @@ def _predictor(model: LanguageModel | None):
 def identify(rows: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """``rows`` with ``lang_pred`` and ``score`` added (columns of these names
     are replaced)."""
+    ship_package(rows.sparkSession)
     keep = [c for c in rows.columns if c not in ("lang_pred", "score", "__text")]
     given = rows.select(*keep, rows[text_col].cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "__text")
-    return given.mapInArrow(_predictor(model), f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    schema = StructType([f for f in given.schema if f.name != "__text"])
+    return given.mapInArrow(_predictor(model), schema.add("lang_pred", "string").add("score", "double"))
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.2, text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """``docs``, all columns, without documents in no language: no letters, or
+    a score that no language reaches. Learns from the rows with a language."""
+    model = train(docs, F.lit(True), text_col, lang_col)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       docs[text_col].cast("string").alias("text"))
+    found = identify(rows, model)
+    if model is None:  # nothing to judge by: only texts without a letter go
+        return found.filter(F.col("row")[text_col].rlike(r"\p{L}")).select("row.*")
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

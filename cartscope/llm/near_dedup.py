@@ -244,6 +244,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one document of each group: the row of its
+    smallest doc_id, once. Rows with a null doc_id stay."""
+    kept = near_duplicates(docs, shingle, percent, id_col, text_col).filter("kept AND doc_id IS NOT NULL")
+    ids = kept.select(F.col("doc_id").alias(id_col)).distinct()
+    one = docs.filter(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.filter(F.col(id_col).isNull()))
+
+
 def op3_minhash_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir), shingle=4)
 

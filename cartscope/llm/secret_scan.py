@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartscope.llm.common import id_and_text, read_documents
+from cartscope.llm.common import read_documents
 from cartscope.llm.spans import SPAN, count_kind, digest, mask, match_spans, no_spans
 
 
@@ -177,8 +177,10 @@ def candidates(base: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``text`` (never null), ``spans`` (all
-    rules, by start, then rule order)."""
-    base = id_and_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    rules, by start, then rule order), ``row`` (the document's own columns)."""
+    row = F.struct(*[docs[c] for c in docs.columns])
+    base = docs.select(row.alias("row"), docs[id_col].cast("long").alias("doc_id"),
+                       F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     text = F.col("text")
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
     rank = {r.kind: k for k, r in enumerate(rules)}
@@ -188,27 +190,39 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         return match_spans(text, r.java(), r.kind, rank[r.kind], keep)
 
     full = [spans_of(r) for r in rules if r not in indexed]
-    scanned = base.select("doc_id", "text", _key().alias("key"),
+    scanned = base.select("row", "doc_id", "text", _key().alias("key"),
                           (F.concat(*full) if full else no_spans()).alias("full"))
     if indexed:
         scanned = scanned.join(candidates(base, indexed).hint("shuffle_hash"), "key", "left")
     else:
         scanned = scanned.withColumn("rules", F.array().cast("array<string>"))
     some = [F.when(F.array_contains("rules", r.kind), spans_of(r)).otherwise(no_spans()) for r in indexed]
-    return scanned.select("doc_id", "text", F.array_sort(F.concat(F.col("full").cast(SPAN), *some)).alias("spans"))
-
-
-def redact(docs: DataFrame, token: str = "[SECRET]") -> DataFrame:
-    """``(doc_id, text, spans)`` with every secret replaced by ``token``."""
-    found = scan(docs)
-    return found.select("doc_id", mask(F.col("text"), F.col("spans"), token).alias("text"), "spans")
+    return scanned.select("row", "doc_id", "text", F.array_sort(F.concat(F.col("full").cast(SPAN), *some)).alias("spans"))
+
+
+def redact(docs: DataFrame, token: str = "[SECRET]", id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with every secret in the text replaced by
+    ``token``; ``n_chars``, if there, counts the new text."""
+    found = scan(docs, id_col=id_col, text_col=text_col)
+    hit = F.size("spans") > 0
+    masked = mask(F.col("text"), F.col("spans"), token)
+    cols = []
+    for c in docs.columns:
+        own = F.col("row")[c]
+        if c == text_col:
+            own = F.when(hit, masked).otherwise(own)
+        elif c == "n_chars":
+            own = F.when(hit, F.length(masked).cast(docs.schema[c].dataType)).otherwise(own)
+        cols.append(own.alias(c))
+    return found.select(*cols)
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:
     found = scan(read_documents(spark, sf_dir))
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["rank"] < len(BASE_KINDS))
-    return found.select(
+    return found.drop("row").select(
         "doc_id", *[count_kind(spans, k).alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(digest(base).cast("binary"), 256).alias("base_sha256"), digest(spans).alias("spans"))
 
