@@ -13,10 +13,14 @@ is skipped:
    partial aggregation; a class takes part once, however many copies it has.
 2. Star rounds: each bucket picks one member, other members of the bucket that
    are not yet in its component are checked against it, components are updated.
-3. Last round: in buckets that still hold several components, all pairs of
+   The first round picks the same member wherever it can, later rounds another
+   one in each bucket, so a document left over by the first meets many.
+3. Last rounds: in buckets that still hold several components, all pairs of
    members of *different* components are compared, in blocks of ``BLOCK``
-   members, first on their signatures and, if the estimate is not far below the
-   threshold, on the full sets.
+   members, each pair in the first bucket it shares, first on their signatures
+   and, if the estimate is not far below the threshold, on the full sets. The
+   nearest ``TOP`` members of other components come first; components are
+   updated, and what is still apart is compared with everything.
 
 A pair at the threshold misses all bands with probability 5e-8
 (``(1 - 0.8^4)^32``), and its signature estimate falls under the cut of the
@@ -45,6 +49,8 @@ ROWS = PERMS // BANDS
 SHINGLE, PERCENT = 5, 80
 STAR_ROUNDS = 2
 BLOCK = 512
+#: Partners of a member in other components, by last round; the final one has all.
+TOP = (3, 1 << 30)
 ESTIMATE_SLACK = 0.14
 
 _rng = np.random.default_rng(77)
@@ -126,7 +132,7 @@ def _verifier(percent: int):
     return verify
 
 
-def _block_pairs(percent: int):
+def _block_pairs(percent: int, top: int):
     least = percent / 100 - ESTIMATE_SLACK
 
     def pairs(table: pa.Table) -> pa.Table:
@@ -134,13 +140,18 @@ def _block_pairs(percent: int):
         ids, label = np.asarray(table.column("class_id")), np.asarray(table.column("label"))
         n = np.asarray(table.column("n_shingles"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(ids), PERMS)
+        band = table.column("band")[0].as_py()
         out_a, out_b = [], []
         lefts, rights = np.flatnonzero((side & 1) > 0), np.flatnonzero((side & 2) > 0)
         for i in lefts:
             j = rights[(label[rights] != label[i])]
             j = j[(100 * n[j] >= percent * n[i]) & (100 * n[i] >= percent * n[j])]
             if len(j):
-                j = j[(sig[j] == sig[i]).mean(axis=1) >= least]
+                same = sig[j] == sig[i]
+                shared = same.reshape(len(j), BANDS, ROWS).all(axis=2)
+                near = same.mean(axis=1)
+                ok = (near >= least) & (shared.argmax(axis=1) == band)
+                j = j[ok][np.argsort(-near[ok], kind="stable")[:top]]
                 out_a += np.minimum(ids[j], ids[i]).tolist()
                 out_b += np.maximum(ids[j], ids[i]).tolist()
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -169,6 +180,20 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.join(spread, "bucket")
 
 
+def _across(mixed: DataFrame, classes: DataFrame, percent: int, top: int) -> DataFrame:
+    """Pairs across components within buckets; a large bucket is compared block
+    by block, where a member meets each block once."""
+    size = mixed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rest = (mixed.join(classes.select("class_id", "n_shingles", "sig"), "class_id").join(size, "bucket")
+            .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
+            .withColumn("side", F.when(F.col("bi") == F.col("bj"), 3)
+                        .when(F.col("own") == F.col("bi"), 1).otherwise(2)))
+    return (rest.select("bucket", "band", "bi", "bj", "side", "class_id", "label", "n_shingles", "sig")
+            .groupBy("bucket", "bi", "bj").applyInArrow(_block_pairs(percent, top), "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the
@@ -187,9 +212,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         .filter("lo <> hi").select("doc_id")
     known_links = same_id.join(twice, "doc_id").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))
 
-    banded = classes.select("class_id", F.explode(F.transform(
+    banded = classes.select("class_id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("bucket"))
+        lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")) \
         .filter("lo <> hi").select("bucket")
     buckets = stage(banded.join(shared, "bucket").distinct(), "buckets")
@@ -205,9 +230,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = buckets.withColumn("label", F.col("class_id"))
     for t in range(STAR_ROUNDS):
         mixed = members if t == 0 else _mixed(members)
+        luck = F.xxhash64("class_id") if t == 0 else F.xxhash64(F.lit(t), "bucket", "class_id")
         centre = mixed.groupBy("bucket").agg(F.min(F.struct(
-            F.xxhash64(F.lit(t), "label").alias("r"), F.xxhash64(F.lit(t), "class_id").alias("s"),
-            F.col("class_id").alias("c"), F.col("label").alias("cl"))).alias("m"))
+            luck.alias("r"), F.col("class_id").alias("c"), F.col("label").alias("cl"))).alias("m"))
         pairs = (mixed.join(centre, "bucket").filter("label <> m.cl")
                  .select(F.least("class_id", F.col("m.c")).alias("a"),
                          F.greatest("class_id", F.col("m.c")).alias("b")).distinct())
@@ -218,20 +243,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
         members = stage(_relabel(buckets, links), "members")
 
-    rest = _mixed(members).join(classes.select("class_id", "n_shingles", "sig"), "class_id")
-    # large buckets are compared block by block: a member meets each block once
-    size = _mixed(members).groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"))
-    rest = rest.join(size, "bucket").withColumn("blocks", F.ceil(F.col("cnt") / F.lit(BLOCK)).cast("int"))
-    own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    rest = (rest.withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
-            .withColumn("side", F.when(F.col("bi") == F.col("bj"), 3)
-                        .when(F.col("own") == F.col("bi"), 1).otherwise(2)))
-    last = (rest.select("bucket", "bi", "bj", "side", "class_id", "label", "n_shingles", "sig")
-            .groupBy("bucket", "bi", "bj").applyInArrow(_block_pairs(percent), "a long, b long").distinct())
-    last = stage(last.join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = stage(links.unionByName(_confirm(last, sets, percent)), "links")
+    for top in TOP:
+        last = _across(_mixed(members), classes, percent, top).join(tested, ["a", "b"], "left_anti")
+        last = stage(last, "pairs")
+        tested = tested.unionByName(last)
+        links = stage(links.unionByName(_confirm(last, sets, percent)), "links")
+        if top != TOP[-1]:
+            members = stage(_relabel(buckets, links), "members")
 
     labels = components(links)
     per_class = (classes.select("set_key", F.col("class_id").alias("node")).join(labels, "node", "left")
