@@ -19,8 +19,9 @@ is skipped:
    members of *different* components are compared, in blocks of ``BLOCK``
    members, each pair in the first bucket it shares, first on their signatures
    and, if the estimate is not far below the threshold, on the full sets. The
-   nearest ``TOP`` members of other components come first; components are
-   updated, and what is still apart is compared with everything.
+   nearest ``TOP`` members of other components come first and components are
+   updated; then what is still apart is compared with everything, and a block
+   gives only the links that connect, at most one less than its members.
 
 A pair at the threshold misses all bands with probability 5e-8
 (``(1 - 0.8^4)^32``), and its signature estimate falls under the cut of the
@@ -48,9 +49,9 @@ PERMS, BANDS = 128, 32
 ROWS = PERMS // BANDS
 SHINGLE, PERCENT = 5, 80
 STAR_ROUNDS = 2
-BLOCK = 512
-#: Partners of a member in other components, by last round; the final one has all.
-TOP = (3, 1 << 30)
+BLOCK = 256
+#: Partners of a member in other components that are checked before all are.
+TOP = 3
 ESTIMATE_SLACK = 0.14
 
 _rng = np.random.default_rng(77)
@@ -132,32 +133,73 @@ def _verifier(percent: int):
     return verify
 
 
-def _block_pairs(percent: int, top: int):
+def _similar(table: pa.Table, percent: int):
+    """Yield ``(i, rows j, estimates)``: pairs of the block in different components
+    that may reach the threshold, each in the first bucket it shares."""
     least = percent / 100 - ESTIMATE_SLACK
-
+    side = np.asarray(table.column("side"))
+    label, n = np.asarray(table.column("label")), np.asarray(table.column("n_shingles"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(side), PERMS)
+    band = table.column("band")[0].as_py()
+    rights = np.flatnonzero((side & 2) > 0)
+    for i in np.flatnonzero((side & 1) > 0):
+        j = rights[label[rights] != label[i]]
+        j = j[(100 * n[j] >= percent * n[i]) & (100 * n[i] >= percent * n[j])]
+        if len(j):
+            same = sig[j] == sig[i]
+            near = same.mean(axis=1)
+            ok = (near >= least) & (same.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band)
+            if ok.any():
+                yield i, j[ok], near[ok]
+
+
+def _nearest(percent: int):
+    """The ``TOP`` nearest partners of each member of a block."""
     def pairs(table: pa.Table) -> pa.Table:
-        side = np.asarray(table.column("side"))
-        ids, label = np.asarray(table.column("class_id")), np.asarray(table.column("label"))
-        n = np.asarray(table.column("n_shingles"))
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(ids), PERMS)
-        band = table.column("band")[0].as_py()
-        out_a, out_b = [], []
-        lefts, rights = np.flatnonzero((side & 1) > 0), np.flatnonzero((side & 2) > 0)
-        for i in lefts:
-            j = rights[(label[rights] != label[i])]
-            j = j[(100 * n[j] >= percent * n[i]) & (100 * n[i] >= percent * n[j])]
-            if len(j):
-                same = sig[j] == sig[i]
-                shared = same.reshape(len(j), BANDS, ROWS).all(axis=2)
-                near = same.mean(axis=1)
-                ok = (near >= least) & (shared.argmax(axis=1) == band)
-                j = j[ok][np.argsort(-near[ok], kind="stable")[:top]]
-                out_a += np.minimum(ids[j], ids[i]).tolist()
-                out_b += np.maximum(ids[j], ids[i]).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+        ids = np.asarray(table.column("class_id"))
+        a, b = [], []
+        for i, j, near in _similar(table, percent):
+            j = j[np.argsort(-near, kind="stable")[:TOP]]
+            a += np.minimum(ids[j], ids[i]).tolist()
+            b += np.maximum(ids[j], ids[i]).tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return pairs
 
 
+def _active(percent: int):
+    """The members of a block that have a partner at all."""
+    def active(table: pa.Table) -> pa.Table:
+        used = np.zeros(len(table), dtype=bool)
+        for i, j, _ in _similar(table, percent):
+            used[i] = True
+            used[j] = True
+        return table.filter(pa.array(used))
+    return active
+
+
+def _exact_links(percent: int):
+    """Confirmed links of a block on the full sets. A pair that links found
+    before in the block already connect needs no check."""
+    def links(table: pa.Table) -> pa.Table:
+        ids = np.asarray(table.column("class_id"))
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("shingles")]
+        group = np.unique(np.asarray(table.column("label")), return_inverse=True)[1]
+        u, v = [], []
+        for i, js, near in _similar(table, percent):
+            for j in js[np.argsort(-near, kind="stable")]:
+                if group[i] == group[j]:
+                    continue
+                pos = np.searchsorted(sets[i], sets[j])
+                pos[pos == len(sets[i])] = 0
+                both = int((sets[i][pos] == sets[j]).sum())
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    u.append(int(ids[i]))
+                    v.append(int(ids[j]))
+                    group[group == group[j]] = group[i]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return links
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among ``pairs(a, b)``, on the full sets."""
     left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa"))
@@ -180,9 +222,9 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.join(spread, "bucket")
 
 
-def _across(mixed: DataFrame, classes: DataFrame, percent: int, top: int) -> DataFrame:
-    """Pairs across components within buckets; a large bucket is compared block
-    by block, where a member meets each block once."""
+def _blocks(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of mixed buckets, dealt into pairs of blocks: a member meets each
+    block of its bucket once."""
     size = mixed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     rest = (mixed.join(classes.select("class_id", "n_shingles", "sig"), "class_id").join(size, "bucket")
             .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
@@ -190,8 +232,7 @@ def _across(mixed: DataFrame, classes: DataFrame, percent: int, top: int) -> Dat
             .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
             .withColumn("side", F.when(F.col("bi") == F.col("bj"), 3)
                         .when(F.col("own") == F.col("bi"), 1).otherwise(2)))
-    return (rest.select("bucket", "band", "bi", "bj", "side", "class_id", "label", "n_shingles", "sig")
-            .groupBy("bucket", "bi", "bj").applyInArrow(_block_pairs(percent, top), "a long, b long").distinct())
+    return rest.select("bucket", "band", "bi", "bj", "side", "class_id", "label", "n_shingles", "sig")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
@@ -243,13 +284,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
         members = stage(_relabel(buckets, links), "members")
 
-    for top in TOP:
-        last = _across(_mixed(members), classes, percent, top).join(tested, ["a", "b"], "left_anti")
-        last = stage(last, "pairs")
-        tested = tested.unionByName(last)
-        links = stage(links.unionByName(_confirm(last, sets, percent)), "links")
-        if top != TOP[-1]:
-            members = stage(_relabel(buckets, links), "members")
+    block = ("bucket", "bi", "bj")
+    near = _blocks(_mixed(members), classes).groupBy(*block).applyInArrow(_nearest(percent), "a long, b long")
+    pairs = stage(near.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
+    members = stage(_relabel(buckets, links), "members")
+    rest = _blocks(_mixed(members), classes)
+    active = rest.groupBy(*block).applyInArrow(_active(percent), rest.schema)
+    found = (active.join(sets, "class_id").groupBy(*block)
+             .applyInArrow(_exact_links(percent), "u long, v long"))
+    links = stage(links.unionByName(found), "links")
 
     labels = components(links)
     per_class = (classes.select("set_key", F.col("class_id").alias("node")).join(labels, "node", "left")
