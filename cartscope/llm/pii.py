@@ -165,7 +165,7 @@ def _may_match(text: Column, kind: str) -> Column:
 
 
 def _candidates(base: DataFrame) -> DataFrame:
-    none = F.filter(candidate_spans(F.lit(""), "card"), lambda s: F.lit(False))
+    none = F.filter(candidate_spans(F.lit("1 1"), "card"), lambda s: F.lit(False))  # typed, empty
     return base.select("doc_id", "text", F.concat(
         *[F.coalesce(candidate_spans(F.col("text"), k), none) for k in KINDS]).alias("found"))
 
