@@ -5,7 +5,8 @@ Two modes reproduce the two flatten paths of the source pipeline:
 ``lenient`` (default)
     Every scalar is coerced like Python ``int()`` / ``float()`` with a default
     (0, or NULL for the gap); missing text -> ``''``; missing ``eval_set`` ->
-    ``'prior'``; a missing or null ``products`` -> no items. Explicit JSON null
+    ``'prior'``; a missing ``products`` -> no items, one that is null or not a
+    list rejects the order. In scalars and texts an explicit JSON null
     counts as missing (``'prior'``/``''`` rather than the string ``"None"``),
     and NaN gaps become NULL.
 ``raw``
@@ -124,6 +125,9 @@ def _order_level(mode: str) -> tuple[dict[str, Column], list[tuple[Column, str]]
         cols = {n: F.coalesce(t[n], F.lit(0).cast("bigint")) for n in _ORDER_SCALARS}
         cols["days_since_prior_order"] = _nan_to_null(t["days_since_prior_order"])
         cols["eval_set"] = F.coalesce(t["eval_set"], F.lit(DEFAULT_EVAL_SET))
+        # only a missing key means an empty basket
+        checks.append((t["products"].isNull() & F.try_variant_get("o", "$.products", "variant").isNotNull(),
+                       "products null or not a list"))
         products = F.coalesce(t["products"], F.array().cast(_EMPTY.format(LENIENT_ITEM_TYPE)))
         counts = lambda p: F.coalesce(p["reordered"], F.lit(0)) == 1
     else:

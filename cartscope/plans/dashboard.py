@@ -142,11 +142,12 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     out["viz_heatmap"] = M._named(
         cells.select("order_dow_name", "order_dow", "order_hour_of_day", "n")
              .orderBy(*M.asc("order_dow", "order_hour_of_day", "order_dow_name")), "viz_heatmap")
-    p = (cells.groupBy("order_dow", "order_dow_name")
-              .pivot("order_hour_of_day", M.HOURS).agg(F.sum("n")))
+    p = (cells.withColumn("_hour", M.pivot_hour()).groupBy("order_dow", "order_dow_name")
+              .pivot("_hour", [*M.HOURS, -1]).agg(F.sum("n")))
     out["viz_heatmap_pivot"] = p.select(
         "order_dow", F.col("order_dow_name").alias("day"),
-        *[F.coalesce(F.col(str(h)), F.lit(0)).cast("long").alias(f"h{h:02d}") for h in M.HOURS]) \
+        *[F.coalesce(F.col(str(h)), F.lit(0)).cast("long").alias(f"h{h:02d}") for h in M.HOURS],
+        F.coalesce(F.col("-1"), F.lit(0)).cast("long").alias("h_other")) \
         .orderBy(*M.asc("order_dow", "day"))
 
     out["basket_size_dist"] = a["baskets"].select(
@@ -207,7 +208,7 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
         dept.select("department", "n", "r", _rate("r", "n").alias("rate"))
             .orderBy(F.desc("rate"), *M.asc("department")), "viz_dept_reorder_rate")
     tot = dp.agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
-    out["kpi_total_items"] = tot.select(F.col("n").alias("total_items_ordered"))
+    out["kpi_total_items"] = tot.select(F.coalesce("n", F.lit(0)).alias("total_items_ordered"))
     out["kpi_reorder_rate"] = tot.select(_rate("r", "n").alias("overall_reorder_rate_pct"))
 
     ap = a["aisle_products"]
@@ -234,14 +235,7 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
         R._argmin("day_of_week", n, dow).alias("quietest_day"),
         F.min(n).alias("quietest_day_orders"))
     h = out["orders_by_hour"]
-    peak = h.agg(R._argmax("hour", n, hour).alias("peak_hour"), F.max(n).alias("peak_hour_orders"))
-    rest = h.join(peak.select(F.col("peak_hour").alias("hour")), "hour", "left_anti")
-    second = rest.agg(R._argmax("hour", n, hour).alias("second_hour"),
-                      F.max(n).alias("second_hour_orders"))
-    split = h.agg(
-        F.bround(F.avg(F.when(hour <= R.EVENING_FROM, n)), 2).alias("avg_orders_per_hour_to_17"),
-        F.bround(F.avg(F.when(hour > R.EVENING_FROM, n)), 2).alias("avg_orders_per_hour_after_17"))
-    out["insight_peak_hours"] = R._one_row(peak, second, split)
+    out["insight_peak_hours"] = R.peak_hours(h)
     cn = F.col("n")
     day = by_dow.agg(R._argmax("order_dow_name", F.col("total_orders"), dow).alias("promo_day"))
     hr = by_hour.agg(R._argmax("order_hour_of_day", F.col("total_orders"),
@@ -254,16 +248,6 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     return out
 
 
-# Below this much input, scanning the tables again is cheaper than the extra
-# jobs that write and re-read the first-level aggregates.
-FUSE_MIN_BYTES = 1 << 30
-
-
-def _input_size(spark: SparkSession, *dfs: DataFrame) -> int:
-    from cartscope.session import input_bytes
-    return sum(input_bytes(spark, df.inputFiles()) for df in dfs)
-
-
 def direct(orders: DataFrame, items: DataFrame,
            keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
     """Every series as its own query over the tables (no shared aggregates)."""
@@ -276,12 +260,7 @@ def direct(orders: DataFrame, items: DataFrame,
 
 
 def refresh(spark: SparkSession, orders: DataFrame, items: DataFrame,
-            keyword: str = R.DEFAULT_KEYWORD, fuse: bool | None = None) -> dict[str, DataFrame]:
-    """All dashboard series. Fused (each table scanned once per first-level
-    aggregate) when ``fuse`` is true, or — by default — when the tables hold at
-    least ``FUSE_MIN_BYTES``; otherwise each series queries the tables directly."""
-    if fuse is None:
-        fuse = _input_size(spark, orders, items) >= FUSE_MIN_BYTES
-    if not fuse:
-        return direct(orders, items, keyword)
+            keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
+    """All dashboard series, whatever the size of the tables: each table is
+    scanned once per first-level aggregate and every series derives from them."""
     return series(materialise(spark, first_level(orders, items)), keyword)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartscope.plans.metrics import orders_by_dow, orders_by_hour, top_products
+from cartscope.plans.metrics import top_products
 
 DEFAULT_KEYWORD = "Organic"   # the report's observation about the top 10
 EVENING_FROM = 17             # "after 17:00": hours strictly greater
@@ -38,7 +38,8 @@ def _argmin(value: str, score: Column, tiebreak: Column) -> Column:
 
 def insight_busiest_day(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Busiest and quietest weekday with their order counts."""
-    d = orders_by_dow(orders)
+    d = (orders.groupBy("order_dow", "order_dow_name").agg(F.count(F.lit(1)).alias("total_orders"))
+         .withColumnRenamed("order_dow_name", "day_of_week"))
     n, dow = F.col("total_orders"), F.col("order_dow")
     return d.agg(_argmax("day_of_week", n, dow).alias("busiest_day"),
                  F.max(n).alias("busiest_day_orders"),
@@ -46,21 +47,26 @@ def insight_busiest_day(orders: DataFrame, items: DataFrame | None = None) -> Da
                  F.min(n).alias("quietest_day_orders"))
 
 
-def insight_peak_hours(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """R2: the two peak hours, and the mean orders per (active) hour up to and
-    after 17:00."""
-    h = orders_by_hour(orders)
+def peak_hours(h: DataFrame) -> DataFrame:
+    """The peak and second hour and the two means, from ``(hour, total_orders)``
+    with one row an hour: at most 256 rows, ranked in one aggregate."""
     n, hour = F.col("total_orders"), F.col("hour")
-    peak = h.agg(_argmax("hour", n, hour).alias("peak_hour"),
-                 F.max(n).alias("peak_hour_orders"))
-    # runner-up: the best hour once the peak is excluded (anti-join on one row)
-    rest = h.join(peak.select(F.col("peak_hour").alias("hour")), "hour", "left_anti")
-    second = rest.agg(_argmax("hour", n, hour).alias("second_hour"),
-                      F.max(n).alias("second_hour_orders"))
-    split = h.agg(
+    ranked = F.sort_array(F.collect_list(F.struct(n.alias("n"), (-hour.cast("int")).alias("early"),
+                                                  hour.alias("hour"))), asc=False)
+    return h.agg(
+        ranked.alias("top"),
         F.bround(F.avg(F.when(hour <= EVENING_FROM, n)), 2).alias("avg_orders_per_hour_to_17"),
-        F.bround(F.avg(F.when(hour > EVENING_FROM, n)), 2).alias("avg_orders_per_hour_after_17"))
-    return _one_row(peak, second, split)
+        F.bround(F.avg(F.when(hour > EVENING_FROM, n)), 2).alias("avg_orders_per_hour_after_17"),
+    ).select(F.get("top", F.lit(0))["hour"].alias("peak_hour"), F.get("top", F.lit(0))["n"].alias("peak_hour_orders"),
+             F.get("top", F.lit(1))["hour"].alias("second_hour"), F.get("top", F.lit(1))["n"].alias("second_hour_orders"),
+             "avg_orders_per_hour_to_17", "avg_orders_per_hour_after_17")
+
+
+def insight_peak_hours(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """R2: the two peak hours, and the mean orders per (active) hour up to and
+    after 17:00. One scan of ``orders``, no join."""
+    return peak_hours(orders.groupBy(F.col("order_hour_of_day").alias("hour"))
+                      .agg(F.count(F.lit(1)).alias("total_orders")))
 
 
 def insight_promo_slot(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:

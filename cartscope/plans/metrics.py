@@ -244,15 +244,23 @@ def viz_heatmap(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
 HOURS = list(range(24))
 
 
+def pivot_hour() -> Column:
+    """The hour, or -1 for a missing hour or one outside 0-23."""
+    hour = F.col("order_hour_of_day").cast("int")
+    return F.when(hour.between(0, 23), hour).otherwise(-1)
+
+
 def viz_heatmap_pivot(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Wide heatmap: one row per weekday, one column per hour (``h00``..``h23``).
 
     The pivot values are listed, so Spark skips the distinct-values job and
-    computes all 24 cells in one aggregate. Hours outside 0–23 are not shown.
+    computes all cells in one aggregate. Other hours are counted in ``h_other``,
+    so a row adds up to the orders of its day.
     """
-    p = (orders.groupBy("order_dow", "order_dow_name")
-               .pivot("order_hour_of_day", HOURS).agg(_n()))
+    p = (orders.withColumn("_hour", pivot_hour())
+               .groupBy("order_dow", "order_dow_name").pivot("_hour", [*HOURS, -1]).agg(_n()))
     cells = [F.coalesce(F.col(str(h)), F.lit(0)).alias(f"h{h:02d}") for h in HOURS]
+    cells.append(F.coalesce(F.col("-1"), F.lit(0)).alias("h_other"))
     return (p.select("order_dow", F.col("order_dow_name").alias("day"), *cells)
              .orderBy(*asc("order_dow", "day")))
 

@@ -12,12 +12,15 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cartscope.operators import validate as V
-from cartscope.operators.normalize import flatten
+from cartscope.operators.normalize import cast_targets, flatten
 from cartscope.sinks.tables import load
 from cartscope.session import file_count
-from cartscope.sources.payload import read_orders_payload
+from cartscope.sources.payload import (
+    document_problem, document_rejects, explode_orders, payload_summary, read_documents,
+)
 
 
 @dataclass
@@ -26,25 +29,37 @@ class EtlResult:
     rejects: str
     validation: DataFrame          # V1 rows
     nonempty: DataFrame            # V2 rows
+    summary: DataFrame             # S2 row: documents, found, claimed, unreadable
 
 
 def run_etl(spark: SparkSession, landing: str, warehouse: str,
                  mode: str = "lenient", load_mode: str = "overwrite",
                  multi_line: bool = False, fail_on_invalid: bool = True,
-                 require_nonempty: bool = False, skip_empty: bool = False) -> EtlResult:
+                 require_nonempty: bool = False, skip_empty: bool = False,
+                 fail_on_bad_documents: bool = True) -> EtlResult:
     """Flatten every landed payload document under ``landing`` into
     ``warehouse/orders`` and ``warehouse/order_items``; rejects go to
-    ``warehouse/_rejects``. Raises when the count reconciliation fails
+    ``warehouse/_rejects``, written with the load's mode. A document that can't
+    be read (not JSON, beyond the VARIANT limit of 128 MiB, or of a shape that
+    holds no orders) fails the run before anything is loaded; with
+    ``fail_on_bad_documents=False`` it is a reject. Raises when the count reconciliation fails
     (``fail_on_invalid``, the scheduled pipeline's check) and, with
     ``require_nonempty``, when a loaded table is empty (the runner's check).
     ``skip_empty`` leaves a table untouched when the transform produced no rows
     for it (the scheduled pipeline's load); its expected count is then 0."""
-    parsed = read_orders_payload(spark, landing, multi_line, mode=mode) \
+    docs = read_documents(spark, landing, multi_line)
+    bad_docs = document_rejects(docs, mode)
+    n_bad = bad_docs.count()
+    summary = payload_summary(docs).withColumn("unreadable_documents", F.lit(n_bad).cast("long"))
+    rejects_path = f"{warehouse}/_rejects"
+    if n_bad and fail_on_bad_documents:
+        bad_docs.write.mode(load_mode).parquet(rejects_path)
+        raise ValueError(f"{n_bad} unreadable documents, see {rejects_path}; nothing was loaded")
+    parsed = explode_orders(docs.filter(document_problem(F.col("doc")).isNull()), cast_targets(mode)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         flat = flatten(parsed, mode)
-        rejects_path = f"{warehouse}/_rejects"
-        flat.rejects.write.mode("overwrite").parquet(rejects_path)
+        flat.rejects.unionByName(bad_docs).write.mode(load_mode).parquet(rejects_path)
         # transform counts are observed while the load writes: no second pass
         obs = {t: Observation(f"transform_{t}") for t in ("orders", "order_items")}
         files = file_count(spark, [landing])
@@ -62,4 +77,4 @@ def run_etl(spark: SparkSession, landing: str, warehouse: str,
         V.assert_valid(checks, "count reconciliation")
     if require_nonempty:
         V.assert_valid(nonempty, "non-empty check")
-    return EtlResult(warehouse, rejects_path, checks, nonempty)
+    return EtlResult(warehouse, rejects_path, checks, nonempty, summary)

@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, app: str = "cartscope",
         # AQE converts a join to a broadcast only when the *measured* size of a
         # side is under this bound, so no plan broadcasts an unchecked side.
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.files.maxPartitionBytes": "128MB",
         # AQE merges small shuffle partitions up to this size
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",

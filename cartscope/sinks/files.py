@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def land_raw(spark: SparkSession, source: str, dest: str, whole_files: bool = False) -> str:
-    """Copy payload documents byte-for-byte into the bronze folder.
+    """Copy payload documents into the bronze folder, never re-serialised.
 
-    Lines (or whole files with ``whole_files=True``) are moved as text, never
-    re-serialised, so the landed copy is exactly what the source sent.
+    JSON Lines are moved line by line (line ends become ``\\n``). With
+    ``whole_files=True`` each file is one Parquet row of ``path`` and
+    ``content``, byte for byte; ``read_documents(landed=True)`` reads them.
     """
-    df = spark.read.text(source, wholetext=whole_files)
-    df.write.mode("errorifexists").text(dest)
+    if whole_files:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+        files.select("path", "content").write.mode("errorifexists").parquet(dest)
+    else:
+        spark.read.text(source).write.mode("errorifexists").text(dest)
     return dest
 
 

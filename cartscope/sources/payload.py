@@ -19,8 +19,13 @@ from cartscope.schema import ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA
 
 
 def read_documents(spark: SparkSession, path: str | list[str],
-                   multi_line: bool = False) -> DataFrame:
-    """One row per payload document: ``doc`` (VARIANT), ``source_file``."""
+                   multi_line: bool = False, landed: bool = False) -> DataFrame:
+    """One row per payload document: ``doc`` (VARIANT, NULL if unreadable),
+    ``source_file``. ``landed`` reads what ``land_raw(whole_files=True)`` wrote."""
+    if landed:
+        return (spark.read.parquet(path)
+                .select(F.try_parse_json(F.decode("content", "UTF-8")).alias("doc"),
+                        F.col("path").alias("source_file")))
     r = spark.read.option("singleVariantColumn", "doc")
     if multi_line:
         r = r.option("multiLine", "true")
@@ -32,11 +37,37 @@ def _orders_array(doc: F.Column, element: str = "variant") -> F.Column:
     """Orders of a document — the envelope's ``orders``, or the list itself —
     cast to ``array<element>``."""
     t = f"array<{element}>"
+    # one order per line: an object with an order_id and no orders is an order
+    single = F.try_variant_get(doc, "$.orders", "variant").isNull() \
+        & F.try_variant_get(doc, "$.order_id", "variant").isNotNull()
     return F.coalesce(F.try_variant_get(doc, "$.orders", t),
                       F.try_variant_get(doc, "$", t),
+                      F.when(single, F.array(F.try_variant_get(doc, "$", element))),
                       F.array().cast(t))
 
 
+def document_problem(doc: F.Column) -> F.Column:
+    """Why a document can't hold orders (null if it can): the reader gives NULL
+    for what is not JSON or beyond the VARIANT size limit; other documents must
+    be a list, or an object whose ``orders``, if present, is a list."""
+    orders = F.try_variant_get(doc, "$.orders", "variant")
+    return (F.when(doc.isNull(), "not JSON or beyond the size limit")
+            .when(F.try_variant_get(doc, "$", "array<variant>").isNotNull(), F.lit(None))
+            .when(F.try_variant_get(doc, "$", "map<string,variant>").isNull(), "not an object or list")
+            .when(orders.isNotNull() & F.try_variant_get(doc, "$.orders", "array<variant>").isNull(),
+                  "orders is not a list"))
+
+
+def document_rejects(docs: DataFrame, mode: str = "lenient") -> DataFrame:
+    """Documents that can't hold orders, as reject rows of stage ``document``;
+    ``record`` names the file and, where it parses, the document."""
+    text = F.when(F.col("doc").isNotNull(), F.to_json("doc"))
+    return (docs.withColumn("reason", document_problem(F.col("doc"))).filter("reason IS NOT NULL")
+            .select(F.lit(mode).alias("mode"), F.lit("document").alias("stage"), "reason",
+                    F.lit(None).cast("long").alias("order_id"),
+                    F.concat_ws(" ", "source_file", text).alias("record")))
+
+
 def _is_list(doc: F.Column) -> F.Column:
     """Is the document a bare list? An O(1) probe of the first element: the
     optimizer may evaluate this once per *order* (it is inlined above the

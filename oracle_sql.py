@@ -135,6 +135,7 @@ METRIC_SQL = {
     "viz_heatmap_pivot": "SELECT order_dow, order_dow_name AS day, "
         + ", ".join(f"count(*) FILTER (WHERE order_hour_of_day = {h}) AS h{h:02d}"
                     for h in range(24))
+        + ", count(*) FILTER (WHERE order_hour_of_day IS NULL OR order_hour_of_day NOT BETWEEN 0 AND 23) AS h_other"
         + " FROM w_orders GROUP BY order_dow, order_dow_name ORDER BY order_dow",
     "viz_gap_days_hist": f"""SELECT CAST({R}(days_since_prior_order, 0) AS DOUBLE)
         AS days_since_prior_order, count(*) AS order_count FROM w_orders

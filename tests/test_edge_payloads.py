@@ -59,10 +59,10 @@ def test_e4_e5_empty_or_absent_products(flat, mode):
 
 def test_e6_null_products(flat):
     doc = {"orders": [order(products=None)]}
-    orders, items, _ = flat([doc], "lenient")
-    assert orders[0]["total_items"] == 0 and items == []
-    orders, _, rejects = flat([doc], "raw")
-    assert orders == [] and rejects[0]["reason"] == "products null or not a list"
+    for mode in ("lenient", "raw"):
+        orders, items, rejects = flat([doc], mode)
+        assert orders == [] and items == []
+        assert rejects[0]["reason"] == "products null or not a list"
 
 
 @pytest.mark.parametrize("mode", ["lenient", "raw"])
