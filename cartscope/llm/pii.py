@@ -89,7 +89,7 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "email":
         return F.lit(True)
     if kind == "ip":
-        return F.forall(F.split(m, r"\.", -1), lambda p: (F.length(F.ltrim(F.lit("0"), p)) <= 3)
+        return F.forall(F.split(m, r"\.", -1), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3)
                         & (F.coalesce(F.substring(p, -4, 4).cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return _luhn(_digits(m))
