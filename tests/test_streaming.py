@@ -43,4 +43,4 @@ def test_available_now_is_incremental(spark, scratch):
     assert sorted(r.order_id for r in orders.collect()) == [1, 2, 3, 4]
     assert spark.read.parquet(f"{wh}/order_items").count() == 7
     rej = spark.read.parquet(f"{wh}/_rejects").collect()
-    assert [(r.stage, r.reason) for r in rej] == [("document", "not JSON")]
+    assert [(r.stage, r.reason) for r in rej] == [("document", "not JSON or beyond the size limit")]
