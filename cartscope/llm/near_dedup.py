@@ -17,7 +17,7 @@ is skipped:
    one in each bucket, so a document left over by the first meets many.
 3. Last rounds: in buckets that still hold several components, all pairs of
    members of *different* components are compared, in blocks of ``BLOCK``
-   members, each pair in the first bucket it shares, first on their signatures
+   members (the bucket's largest component only with the others), each pair in the first bucket it shares, first on their signatures
    and, if the estimate is not far below the threshold, on the full sets. The
    nearest ``TOP`` members of other components come first and components are
    updated; then what is still apart is compared with everything, and a block
@@ -38,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartscope.llm.common import (Words, as_binary, id_and_text, mix, read_documents, ship_package,
@@ -223,16 +223,37 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 def _blocks(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of mixed buckets, dealt into pairs of blocks: a member meets each
-    block of its bucket once."""
-    size = mixed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    """Members of mixed buckets, dealt into cells of two blocks.
+
+    A bucket's largest component is apart: its members need to meet only the
+    others, so a large group with a few outsiders is written about once. Cells
+    ``(bi, bj)`` pair two blocks of the others, cells ``(-1 - block, bj)`` a
+    block of the largest component with one of the others; a bucket that fits
+    a block is one cell. Every pair of members of different components is in
+    exactly one cell of the bucket."""
+    sizes = mixed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    size = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
+            .select("bucket", (F.col("n") <= BLOCK).alias("small"), F.col("main.label").alias("main_label"),
+                    F.ceil(F.col("main.n") / F.lit(BLOCK)).cast("int").alias("main_blocks"),
+                    F.ceil((F.col("n") - F.col("main.n")) / F.lit(BLOCK)).cast("int").alias("blocks")))
+    in_main = F.col("label") == F.col("main_label")
+
+    def cells(blocks: str, cell) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda b: F.struct(
+            *[c.cast("int").alias(n) for c, n in zip(cell(b), ("bi", "bj", "side"))]))
+
+    own = F.col("own")
+    among = cells("blocks", lambda b: (F.least(own, b), F.greatest(own, b),
+                                       F.when(own == b, 3).when(own < b, 1).otherwise(2)))
+    to_main = cells("main_blocks", lambda b: (-1 - b, own, F.lit(1)))
+    of_main = cells("blocks", lambda b: (-1 - own, b, F.lit(2)))
+    whole = cells("blocks", lambda b: (b, b, F.lit(3)))  # of a small bucket: its one block
     rest = (mixed.join(classes.select("class_id", "n_shingles", "sig"), "class_id").join(size, "bucket")
-            .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
-            .withColumn("side", F.when(F.col("bi") == F.col("bj"), 3)
-                        .when(F.col("own") == F.col("bi"), 1).otherwise(2)))
-    return rest.select("bucket", "band", "bi", "bj", "side", "class_id", "label", "n_shingles", "sig")
+            .withColumn("own", F.pmod(F.xxhash64("class_id"), F.when(in_main, F.col("main_blocks"))
+                                      .otherwise(F.col("blocks"))).cast("int"))
+            .withColumn("cell", F.explode(
+                F.when(F.col("small"), whole).when(in_main, of_main).otherwise(F.concat(among, to_main)))))
+    return rest.select("bucket", "band", "cell.bi", "cell.bj", "cell.side", "class_id", "label", "n_shingles", "sig")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,

@@ -118,6 +118,24 @@ def test_near_duplicates_against_brute_force(spark, rows):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([i for i in root if find(i) == i] + [None])
 
 
+def test_blocks_hold_each_pair_of_different_components_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    labels = [0] * 15 + [100] * 6 + list(range(200, 205))  # one large bucket, then a small one
+    rows = [(1, 0, i, g) for i, g in enumerate(labels)] + [(2, 1, i, i % 2) for i in range(50, 53)]
+    mixed = spark.createDataFrame(rows, "bucket long, band int, class_id long, label long")
+    classes = spark.createDataFrame([(r[2], 9, b"") for r in rows], "class_id long, n_shingles long, sig binary")
+    cells = {}
+    for r in near_dedup._blocks(mixed, classes).collect():
+        cells.setdefault((r["bucket"], r["bi"], r["bj"]), []).append(r)
+    met = [(k[0], *sorted((a["class_id"], b["class_id"]))) for k, v in cells.items()
+           for a in v if a["side"] & 1 for b in v if b["side"] & 2 and a["label"] != b["label"]
+           if a["side"] != 3 or b["side"] != 3 or a["class_id"] < b["class_id"]]
+    wanted = [(x[0], *sorted((x[2], y[2]))) for i, x in enumerate(rows) for y in rows[:i]
+              if x[0] == y[0] and x[3] != y[3]]
+    assert sorted(met) == sorted(wanted)
+    assert max(len(v) for k, v in cells.items() if k[0] == 2) == 3
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 130)] + [(5, 5), (200, 7)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
