@@ -118,7 +118,8 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column, id_col: str =
     marks = (labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
              .filter(is_training & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    rows = stage(id_and_text(docs, id_col, text_col).filter(is_training).join(marks, "doc_id")
+    # the same plan at every size: the labels are hashed, texts are never sorted
+    rows = stage(id_and_text(docs, id_col, text_col).filter(is_training).join(marks.hint("shuffle_hash"), "doc_id")
                  .select("doc_id", "text", "label")
                  .mapInArrow(_labelled_terms, "doc_id long, label int, slots binary"), "labelled")
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
