@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartscope.llm.common import read_documents
-from cartscope.llm.spans import SPAN, count_kind, digest, mask, match_spans, no_spans
+from cartscope.llm.spans import SPAN, count_kind, digest, let, mask, match_spans, no_spans
 
 
 @dataclass(frozen=True)
@@ -151,8 +151,8 @@ def _key() -> Column:
 
 def postings(base: DataFrame, trigrams: list[str]) -> DataFrame:
     """The inverted index over the trigrams asked for: ``(trigram, key)``."""
-    low = F.lower("text")
-    held = F.filter(F.array(*map(F.lit, trigrams)), lambda t: F.contains(low, t))
+    held = let(F.lower("text"), lambda low: F.filter(
+        F.array(*map(F.lit, trigrams)), lambda t: F.contains(low, t)))
     return base.select(_key().alias("key"), F.explode(held).alias("trigram"))
 
 
