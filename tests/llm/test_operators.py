@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -347,6 +348,23 @@ def test_contamination_recall_against_planted_edits(spark):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _, _ in data} - {d for d, _ in got}
 
 
+@pytest.mark.parametrize("n", [9, 20, 30, 40, 59, 120, 300])
+def test_contamination_recall_at_the_edit_limit(n):
+    rng = random.Random(n)
+    voc = [f"v{k}" for k in range(2000)]
+    items = [(k, " ".join(rng.choice(voc) for _ in range(n))) for k in range(100)]
+    texts = []
+    for k in range(100):
+        w = items[k][1].split()
+        for j in range(n // 5):  # as many edits as the limit allows
+            p, kind = rng.randrange(len(w)), rng.randrange(3)
+            w[p:p + 1] = ([f"z{j}"], [], [w[p], f"z{j}"])[kind]
+        texts.append(" ".join([rng.choice(voc) for _ in range(20)] + w + [rng.choice(voc) for _ in range(20)]))
+    found = {(r[0], r[1]) for r in decontaminate._hits(
+        pa.array(texts), *decontaminate.build_classes(items), decontaminate.RATE)}
+    assert len(found & {(k, k) for k in range(100)}) >= 95
+
+
 def test_window_distance_against_plain_dynamic_program():
     rng = random.Random(7)
     for _ in range(200):
