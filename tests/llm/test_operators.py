@@ -194,6 +194,33 @@ def test_lm_base_scores_and_distribution(spark, rows):
     assert all(np.isfinite(r["score"]) and r["score"] <= 0 for r in got)
 
 
+def test_lm_training_reads_every_position_and_rare_rows_move_in_full():
+    rng = random.Random(2)
+    texts = [words(rng, 50) for _ in range(20)]
+    data = "".join(texts).encode()
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    t = lm_score.tokens_of(np.frombuffer(data, np.uint8), off)
+    k, h = lm_score.CLASSES, lm_score.HEADS
+    none = np.zeros(0, np.uint64)
+    zeros = np.zeros(lm_score.ROWS1 + lm_score.ROWS2 + lm_score.ROWS12, np.float32)
+    sums = {"class": zeros, "word": np.zeros(2 * lm_score.WORD_ROWS, np.float32)}
+    model = lm_score.Model(len(t.hashes), 1, none, none.astype(np.int64), np.ones(k), np.ones(k), np.zeros(k), np.zeros((k, h + 1)),
+                           np.zeros((len(zeros), k), np.float32), np.zeros((len(sums["word"]), h + 1), np.float32))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    sent = pa.Table.from_batches(lm_score._trainer(model, sums)([batch]))
+    gain = np.concatenate([np.frombuffer(x, "<f4") for x in sent.column("gain").to_pylist()[:lm_score.DELTA_BLOCKS]])
+    rows, _ = lm_score._features(*lm_score._history(t), t.classes)
+    assert (gain[rows.ravel()] > 0).all()
+    # a partition that met none of the rows does not shrink the change
+    one = sent.slice(0, 1)
+    idle = pa.table({"block": one.column("block"),
+                     **{c: pa.array([bytes(len(one.column(c)[0].as_py()))], pa.binary()) for c in ("change", "gain")}})
+    both = lm_score._averager("<f2")(pa.concat_tables([one.select(idle.schema.names).cast(idle.schema), idle]))
+    got, want = (np.frombuffer(x.column("change")[0].as_py(), kind) for x, kind in ((both, "<f4"), (one, "<f2")))
+    np.testing.assert_allclose(got, want, rtol=1e-5)
+    assert lm_score.rounds_for(64 << 30) > lm_score.rounds_for(1 << 30) > lm_score.rounds_for(1)
+
+
 def test_languages(spark):
     rng = random.Random(1)
     voc = {"en": "the and with that from this which have", "de": "und der nicht eine mit auch werden über",
