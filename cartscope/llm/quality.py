@@ -19,7 +19,8 @@ symbols on every word are beyond 0.1 in characters, and long lists without a
 language's function words beyond 0.15 in words.
 
 Defined results: a null or empty text has no words and fails the base rules;
-without any reference only the base rules count; repeated rows and null ids
+a document whose language has no reference (fewer than ``min_docs`` documents)
+is judged by the base rules only, one without a language by all references; repeated rows and null ids
 are judged like any other; other columns are ignored.
 """
 
@@ -40,7 +41,6 @@ REPEAT_WINDOW, REPEAT_PERCENT = 5, 20
 BITS, COMMON = 16, 64
 CHAR_LIMIT, CHAR_GUARD = 0.1, 30
 WORD_LIMIT, WORD_GUARD = 0.15, 200
-MAX_LANGUAGES = 256
 
 # The symbols counted, and character classes by byte.
 SYMBOLS = b"#*$%&|<>"
@@ -151,7 +151,7 @@ class Reference:
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                min_docs: int = 20) -> dict[str, Reference]:
     """A reference for each language with at least ``min_docs`` documents that
-    pass the base rules (the ``MAX_LANGUAGES`` most frequent)."""
+    pass the base rules."""
     ship_package(docs.sparkSession)
     rows = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text")) \
         .filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -160,15 +160,15 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     total = F.sum(F.when(F.col("bin") >= 0, F.col("amount"))).over(Window.partitionBy("lang"))
     top = (sums.withColumn("total", total).withColumn("word", F.col("bin") >= 0)
            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "word").orderBy(F.desc("amount"), "bin")))
+           .withColumn("passed", F.max(F.when(F.col("bin") < 0, F.col("docs"))).over(Window.partitionBy("lang")))
+           .filter(F.col("passed") >= min_docs)
            .filter((F.col("bin") < 0) | (F.col("rank") <= COMMON)))
     got: dict[str, list] = {}
-    for r in top.select("lang", "bin", "amount", "docs", "total").collect():  # COMMON + 7 rows a language
+    for r in top.select("lang", "bin", "amount", "passed", "total").collect():  # COMMON + 7 rows a language
         got.setdefault(r["lang"], []).append(r)
     out = {}
-    for lang, rs in sorted(got.items(), key=lambda kv: -max(r["docs"] for r in kv[1]))[:MAX_LANGUAGES]:
-        n = max(r["docs"] for r in rs if r["bin"] < 0)
-        if n < min_docs:
-            continue
+    for lang, rs in sorted(got.items()):
+        n = rs[0]["passed"]
         classes = np.zeros(7)
         for r in rs:
             if r["bin"] < 0:
@@ -217,9 +217,11 @@ def _judge(refs: dict[str, Reference]):
             for i, j, data, off in text_chunks(batch.column(batch.schema.get_field_index("text"))):
                 f = facts(data, off)
                 failed = f.failed()
+                lang = batch.column(batch.schema.get_field_index("lang")).slice(i, j - i).to_pylist()
+                judged = np.array([x is None or x in refs for x in lang], dtype=bool)
                 by_char, by_word = distances(f, refs) if refs else (np.zeros(j - i), np.zeros(j - i))
-                far = ((f.n_words >= CHAR_GUARD) & (by_char > CHAR_LIMIT)) | \
-                      ((f.n_words >= WORD_GUARD) & (by_word > WORD_LIMIT))
+                far = judged & (((f.n_words >= CHAR_GUARD) & (by_char > CHAR_LIMIT)) |
+                                ((f.n_words >= WORD_GUARD) & (by_word > WORD_LIMIT)))
                 cols = [f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(batch.schema.get_field_index("doc_id")).slice(i, j - i),
@@ -229,10 +231,11 @@ def _judge(refs: dict[str, Reference]):
 
 
 def judge(docs: DataFrame, refs: dict[str, Reference], id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: the base counts, ``base_failed``, both distances, ``kept``."""
     ship_package(docs.sparkSession)
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")) \
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"),
+                       docs[lang_col].cast("string").alias("lang")) \
         .mapInArrow(_judge(refs), OUT)
 
 
