@@ -12,11 +12,13 @@ are too short for a histogram and are not judged by that distance.
 Common words are counted as hashed words in ``2^BITS`` slots, so a task holds
 one bounded table per language, whatever its vocabulary.
 
-Distances are judged against fixed limits, parameters of the method. Character
-classes settle within some tens of words, common words within some hundred:
-clean texts of that length lie within 0.03 and 0.1; texts in capitals or with
-symbols on every word are beyond 0.1 in characters, and long lists without a
-language's function words beyond 0.15 in words.
+Distances are judged against limits that are parameters of the method.
+Character classes settle within some tens of words: clean texts of that length
+lie within 0.03, texts in capitals or with symbols on every word beyond 0.1.
+Common words settle with the square root of the length, and so does their
+limit, chosen on one half of the labelled sf0.1 rows; it is never less than what
+words drawn from the reference reach. Lists without a
+language's function words lie beyond it from some tens of words on.
 
 Defined results: a null or empty text has no words and fails the base rules;
 a document whose language has no reference (fewer than ``min_docs`` documents)
@@ -40,7 +42,10 @@ MIN_WORDS = 10
 REPEAT_WINDOW, REPEAT_PERCENT = 5, 20
 BITS, COMMON = 16, 64
 CHAR_LIMIT, CHAR_GUARD = 0.1, 30
-WORD_LIMIT, WORD_GUARD = 0.15, 200
+WORD_LIMIT, WORD_GUARD = 0.1, 40
+#: A text of n words may lie as far as WORD_BASE + WORD_SPREAD / sqrt(n), if that is more.
+WORD_BASE, WORD_SPREAD = 0.04, 1.05
+NOISE_WORDS = (40, 60, 100, 160, 250, 400, 1000)
 
 # The symbols counted, and character classes by byte.
 SYMBOLS = b"#*$%&|<>"
@@ -191,10 +196,22 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return 0.5 * kl(p) + 0.5 * kl(np.broadcast_to(q, p.shape))
 
 
-def distances(f: Facts, refs: dict[str, Reference]) -> tuple[np.ndarray, np.ndarray]:
-    """Least distance to any language, by character classes and by words."""
+def word_limit(n_words: np.ndarray, ref: Reference) -> np.ndarray:
+    """The limit by length, or four standard deviations above the mean distance
+    of as many words drawn from the reference itself, if that is more."""
+    rng = np.random.default_rng(5)
+    share = ref.words / ref.words.sum()
+    drawn = [divergence(rng.multinomial(n, share, 200) / n, ref.words) for n in NOISE_WORDS]
+    noise = np.interp(n_words, NOISE_WORDS, [d.mean() + 4 * d.std() for d in drawn])
+    own = WORD_BASE + WORD_SPREAD / np.sqrt(np.maximum(n_words, 1))
+    return np.maximum(np.maximum(WORD_LIMIT, own), noise)
+
+
+def distances(f: Facts, refs: dict[str, Reference]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least distance to any language, by character classes and by words, and
+    whether the words are beyond every language's limit."""
     n = len(f.n_words)
-    by_char, by_word = np.full(n, 1.0), np.full(n, 1.0)
+    by_char, by_word, beyond = np.full(n, 1.0), np.full(n, 1.0), np.full(n, True)
     shares = f.classes / np.maximum(f.classes.sum(axis=1, keepdims=True), 1)
     total = np.maximum(np.bincount(f.word_doc, minlength=n), 1)
     for ref in refs.values():
@@ -203,8 +220,10 @@ def distances(f: Facts, refs: dict[str, Reference]) -> tuple[np.ndarray, np.ndar
         place[ref.slots] = np.arange(len(ref.slots))
         k = len(ref.slots) + 1
         hist = np.bincount(f.word_doc * k + place[f.word_slot], minlength=n * k).reshape(n, k) / total[:, None]
-        by_word = np.minimum(by_word, divergence(hist, ref.words))
-    return by_char, by_word
+        apart = divergence(hist, ref.words)
+        by_word = np.minimum(by_word, apart)
+        beyond &= apart > word_limit(f.n_words, ref)
+    return by_char, by_word, beyond
 
 
 OUT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -219,9 +238,9 @@ def _judge(refs: dict[str, Reference]):
                 failed = f.failed()
                 lang = batch.column(batch.schema.get_field_index("lang")).slice(i, j - i).to_pylist()
                 judged = np.array([x is None or x in refs for x in lang], dtype=bool)
-                by_char, by_word = distances(f, refs) if refs else (np.zeros(j - i), np.zeros(j - i))
+                by_char, by_word, beyond = distances(f, refs) if refs else (np.zeros(j - i),) * 3
                 far = judged & (((f.n_words >= CHAR_GUARD) & (by_char > CHAR_LIMIT)) |
-                                ((f.n_words >= WORD_GUARD) & (by_word > WORD_LIMIT)))
+                                ((f.n_words >= WORD_GUARD) & (beyond > 0)))
                 cols = [f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(batch.schema.get_field_index("doc_id")).slice(i, j - i),
