@@ -5,8 +5,9 @@ kinds (e-mail, IP address, payment card, international phone) with and without
 their validity rules, and formats the base kinds do not cover. Each candidate
 gets format and context features with few values. Gradient-boosted regression
 trees learn from them whether a candidate of that look is valid, and a
-threshold per kind is calibrated to a precision; candidates above it are added
-to the valid base spans, which always stay.
+threshold per kind is calibrated to a precision, smoothed by a prior; candidates
+above it are added to the valid base spans, which always stay. Valid candidates
+of ``STRONG_KINDS`` are added whatever the counts and scores.
 
 The labels are the validity rules themselves (check digits, ranges, digit
 counts, known top-level domains); the trees do not see them, only format and
@@ -20,7 +21,7 @@ exactly what the plain patterns match, in linear time and constant stack.
 
 Defined results: a null text is empty; repeated rows are scanned each; a null
 doc_id is kept; other columns are ignored. With no candidates, or candidates
-of one label only, no span is added. Positions are code points, end exclusive.
+of one label only, only strong kinds are added. Positions are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -35,7 +36,10 @@ from cartscope.llm.common import id_and_text, read_documents
 from cartscope.llm.spans import SPAN, count_kind, digest, let, mask
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-PRECISION, LEAST_CASES = 0.97, 50
+#: Added formats whose own rule is strong enough alone: check digits, issuing rules, known endings.
+STRONG_KINDS = ("email_spelled", "ssn", "iban")
+#: Cases of doubt (half of them valid) that a kind's precision starts from.
+PRECISION, PRIOR_CASES = 0.97, 2.0
 ROUNDS, LEARNING_RATE = 40, 0.3
 
 # Formats, cue words and domain endings.
@@ -195,7 +199,7 @@ def _best_split(x: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[float, int
     return best
 
 
-def fit(cells: list[dict], precision: float = PRECISION, least: int = LEAST_CASES) -> Model | None:
+def fit(cells: list[dict], precision: float = PRECISION, prior: float = PRIOR_CASES) -> Model | None:
     """Trees from counted cells (feature values, ``n``, ``pos``)."""
     if not cells:
         return None
@@ -233,7 +237,7 @@ def fit(cells: list[dict], precision: float = PRECISION, least: int = LEAST_CASE
         mine = np.flatnonzero(x[:, 0] == k)
         mine = mine[np.argsort(-score[mine])]
         cn, cp = np.cumsum(n[mine]), np.cumsum(pos[mine])
-        good = np.flatnonzero((cp >= precision * cn) & (cn >= least))
+        good = np.flatnonzero(cp + prior / 2 >= precision * (cn + prior))
         # the cut may not fall between cells of one score
         good = [i for i in good if i + 1 == len(mine) or score[mine[i + 1]] < score[mine[i]]]
         if good:
@@ -268,12 +272,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = _candidates(base)
     model = train(found)
     valid = F.filter("found", lambda s: (s["rank"] < len(BASE_KINDS)) & s["ok"])
+    strong = lambda s: s["ok"] & s["kind"].isin(*STRONG_KINDS)
     if model is None or not model.threshold:
-        added = F.filter("found", lambda s: F.lit(False))
+        added = F.filter("found", strong)
     else:
         cut = F.create_map(*[F.lit(x) for kv in model.threshold.items() for x in kv])
-        added = F.filter("found", lambda s: (~s["ok"] | (s["rank"] >= len(BASE_KINDS)))
-                         & F.coalesce(score_column(model, s["f"]) >= cut[s["rank"]] - 1e-9, F.lit(False)))
+        added = F.filter("found", lambda s: strong(s) | (
+            (~s["ok"] | (s["rank"] >= len(BASE_KINDS)))
+            & F.coalesce(score_column(model, s["f"]) >= cut[s["rank"]] - 1e-9, F.lit(False))))
     def plain(c: Column, mark: str = "") -> Column:
         return F.transform(c, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"),

@@ -371,6 +371,17 @@ def test_personal_data_against_plain_patterns(spark):
         assert [(s["kind"], s["start"], s["stop"]) for s in got[i] if s["kind"] in pii.BASE_KINDS] == want, t
 
 
+@pytest.mark.parametrize("others", [0, 60])
+def test_strong_personal_data_is_found_in_small_and_large_corpora(spark, others):
+    data = [(1, "pay to GB82WEST12345698765432 now", "en"), (2, "ssn 123-45-6789 here", "en"),
+            (3, "mail jo (at) mail (dot) com now", "en"), (4, "pay to GB83WEST12345698765432 now", "en"),
+            (5, "ssn 000-45-6789 here", "en")]
+    data += [(100 + k, "pay to GB82WEST12345698765432 or 123-45-6789", "en") for k in range(others)]
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in pii.find(frame(spark, data)).collect()}
+    assert got[1] == ["iban"] and got[2] == ["ssn"] and got[3] == ["email_spelled"]
+    assert "iban" in got[100] if others else got[4] == got[5] == []
+
+
 def test_boosted_trees_tell_formats_apart():
     cells = [dict(kind=7, digits=d, marks=0, cue=c, before=0, after=0, length=2, n=100, pos=95 if c else 5)
              for d in range(3) for c in (0, 1)]
