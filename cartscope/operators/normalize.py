@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cartscope.functions import clean_text, dow_name
 from cartscope.schema import (
-    DEFAULT_EVAL_SET, ORDER_ITEMS_COLUMNS, ORDERS_COLUMNS, UNSIGNED_BITS,
+    DEFAULT_EVAL_SET, ORDER_ITEMS_COLUMNS, ORDER_ITEMS_SCHEMA, ORDERS_COLUMNS, ORDERS_SCHEMA, UNSIGNED_BITS,
 )
 
 MODES = ("lenient", "raw")
@@ -265,6 +265,37 @@ def flatten(orders_v: DataFrame, mode: str = "lenient") -> Flattened:
     return Flattened(orders, items, rejects, staged, mode)
 
 
+def staged_rows(orders_v: DataFrame, mode: str = "lenient", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The flatten as one row per order, to be written once and read for every
+    output: the typed order columns, ``items`` (typed, each with its ``reason`` and,
+    if it fails, its ``record``), ``reason`` and ``record`` of a failing order, and
+    the columns ``keep`` of the input. ``orders_v`` is as for ``flatten``."""
+    cast = orders_v
+    for name, target in cast_targets(mode).items():
+        if name not in orders_v.columns:
+            cast = cast.withColumn(name, F.try_variant_get("o", "$", target))
+    cols, checks, products = _order_level(mode)
+    staged = cast.select(*keep, "o", *[c.alias(n) for n, c in cols.items()], products.alias("products"),
+                         _first_reason(checks).alias("reason")) \
+        .withColumn("order_dow_name", dow_name(F.col("order_dow")))
+
+    def item(p: Column) -> Column:
+        icols, ichecks = _item_level(mode, lambda n: p[n])
+        return F.struct(*[icols[n].cast(_ITEM_TYPES.get(n, "string")).alias(n) for n in ORDER_ITEMS_COLUMNS
+                          if n in icols],
+                        _first_reason(ichecks).alias("reason"), p.alias("p"))
+
+    def shown(x: Column) -> Column:
+        return F.struct(*[x[n].alias(n) for n in ORDER_ITEMS_COLUMNS if n not in ("order_id", "user_id")],
+                        x["reason"].alias("reason"),
+                        F.when(x["reason"].isNotNull(), F.to_json(F.to_variant_object(x["p"]))).alias("record"))
+    bad = F.col("reason").isNotNull()
+    tagged = F.transform(F.when(~bad, F.col("products")).otherwise(F.slice("products", 1, 0)), item)
+    return staged.select(
+        *keep, *[F.col(n).cast(_ORDER_TYPES[n]).alias(n) if n in _ORDER_TYPES else F.col(n) for n in ORDERS_COLUMNS],
+        F.transform(tagged, shown).alias("items"), "reason", F.when(bad, F.to_json("o")).alias("record"))
+
+
 def transform_summary(flat: Flattened, with_timestamp: bool = True) -> DataFrame:
     """Row counts of both outputs, in one aggregate over the accepted
     orders (items counted per order with the item checks in a filter)."""
@@ -278,19 +309,29 @@ def transform_summary(flat: Flattened, with_timestamp: bool = True) -> DataFrame
     return out
 
 
+def load_value(field, column: Column) -> Column:
+    """A value as the warehouse stores it: NULL in a NOT NULL column becomes the
+    type default (0 / '')."""
+    c = column.cast(field.dataType)
+    if field.nullable:
+        return c
+    default = F.lit("") if field.dataType.typeName() == "string" else F.lit(0)
+    return F.coalesce(c, default.cast(field.dataType))
+
+
 def fill_load_defaults(df: DataFrame, table: str) -> DataFrame:
-    """Staging -> warehouse: NULL in a NOT NULL column becomes the type default
-    (0 / ''), as the warehouse does on insert; the gap column stays nullable."""
-    from cartscope.schema import ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA
+    """Staging -> warehouse: type defaults for nulls in NOT NULL columns, as the
+    warehouse does on insert; the gap column stays nullable."""
+    schema = ORDERS_SCHEMA if table == "orders" else ORDER_ITEMS_SCHEMA
+    return df.select(*[load_value(f, F.col(f.name)).alias(f.name) for f in schema.fields])
+
+
+def row_hash(table: str, get=F.col) -> Column:
+    """Hash of a row's stored values; ``get(name)`` gives a column's value. The sum
+    of a table's hashes doesn't depend on the order or place of its rows."""
     schema = ORDERS_SCHEMA if table == "orders" else ORDER_ITEMS_SCHEMA
-    out = []
-    for f in schema.fields:
-        c = F.col(f.name).cast(f.dataType)
-        if not f.nullable:
-            default = F.lit("") if f.dataType.typeName() == "string" else F.lit(0)
-            c = F.coalesce(c, default.cast(f.dataType))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    return F.xxhash64(*[load_value(f, get(f.name)) for f in schema.fields]).cast("decimal(28,0)")
 
 
-__all__ = ["Flattened", "flatten", "transform_summary", "fill_load_defaults", "MODES"]
+__all__ = ["Flattened", "flatten", "transform_summary", "fill_load_defaults", "load_value", "row_hash",
+           "staged_rows", "MODES"]

@@ -8,19 +8,23 @@ read back. Run-time stamps are left out of the returned columns.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartscope.operators import validate as V
 from cartscope.operators.normalize import Flattened, flatten, transform_summary
-from cartscope.session import scratch_path
+from cartscope.plans.loads import load_version, merge_version
+from cartscope.plans.staging import stage_landing
+from cartscope.schema import ORDER_ITEMS_COLUMNS, ORDERS_SORT_KEY
+from cartscope.session import file_count, scratch_path, work_root
 from cartscope.sinks import files as sink_files
 from cartscope.sinks import tables as sink_tables
+from cartscope.sinks import versions
 from cartscope.sources import payload as P
+from cartscope.sources import payload_fixture as fixture
 from cartscope.sources.payload_fixture import ensure_landing
-from cartscope.sources.warehouse import warehouse_tables
+from cartscope.sources.warehouse import warehouse_files, warehouse_key, warehouse_tables
+from cartscope.streaming import start_ingest, start_merge_ingest
 
 
 def _flat(spark: SparkSession, sf_dir: str, mode: str = "lenient") -> Flattened:
@@ -140,34 +144,58 @@ def q_write_flat_staging(spark, sf_dir):
             .withColumnRenamed("n", "row_count")
 
 
+def _counts(version_files: DataFrame) -> DataFrame:
+    return version_files.groupBy("table_name").agg(F.sum("rows").alias("row_count"))
+
+
 def q_load_append(spark, sf_dir):
     """The same load appended twice doubles the tables (source behaviour)."""
-    flat = _flat(spark, sf_dir)
     dest = scratch_path(spark, "load-append")
     for _ in range(2):
-        sink_tables.load(flat.orders, flat.items, dest, mode="append")
-    return V.count_table(spark, [(t, spark.read.parquet(f"{dest}/{t}"))
-                                 for t in ("orders", "order_items")]) \
-            .withColumnRenamed("n", "row_count")
+        done = load_version(spark, ensure_landing(spark, sf_dir), dest, load_mode="append")
+    return _counts(spark.read.parquet(done.version.files))
 
 
 def q_load_snapshot(spark, sf_dir):
-    """The same load run twice as a snapshot leaves one copy; returns orders."""
-    flat = _flat(spark, sf_dir)
+    """The same load run twice as a snapshot leaves one copy; returns the rows
+    of both tables."""
     dest = scratch_path(spark, "load-snapshot")
     for _ in range(2):
-        sink_tables.load(flat.orders, flat.items, dest, mode="overwrite")
-    return spark.read.parquet(f"{dest}/orders")
+        done = load_version(spark, ensure_landing(spark, sf_dir), dest)
+    tables = [versions.read_table(spark, dest, t, done.version).withColumn("table_name", F.lit(t))
+              for t in versions.TABLES]
+    return tables[0].unionByName(tables[1], allowMissingColumns=True)
+
+
+def _merged(spark, dest: str) -> DataFrame:
+    """Orders of the newest version with the items loaded for each."""
+    items = versions.read_table(spark, dest, "order_items").groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("loaded_items"))
+    return (versions.read_table(spark, dest, "orders").join(items, "order_id", "left")
+            .withColumn("loaded_items", F.coalesce("loaded_items", F.lit(0).cast("long"))))
+
+
+def q_load_merge(spark, sf_dir):
+    """W3, keyed: a delivery of every fifth document, some orders changed, merged
+    into a full load; files without a delivered order are kept."""
+    orders, items = warehouse_tables(spark, sf_dir)
+    dest, landing = scratch_path(spark, "load-merge"), scratch_path(spark, "landing-part")
+    load_version(spark, ensure_landing(spark, sf_dir), dest)
+    (fixture.payload_documents(*fixture.redelivery(orders, items), ids=True)
+     .filter("doc_id % 5 = 0").select("value").write.text(landing))
+    merge_version(spark, stage_landing(spark, landing), dest)
+    return _merged(spark, dest)
 
 
 def _created_table(spark, sf_dir, table: str) -> DataFrame:
-    flat = _flat(spark, sf_dir)
+    staged = stage_landing(spark, ensure_landing(spark, sf_dir))
     db = "ecommerce"
     sink_tables.create_database(spark, db)
-    name = f"`{db}`.`{table}_{uuid.uuid4().hex[:8]}`"
-    sink_tables.create_table(spark, table, name, scratch_path(spark, "tables", table))
-    df = flat.orders if table == "orders" else flat.items
-    sink_tables.insert_into(df, table, name, overwrite=True)
+    key = warehouse_key(spark, sf_dir)
+    name = f"`{db}`.`{table}_{key}`"
+    sink_tables.create_table(spark, table, name, f"{work_root(spark)}/cartscope/tables/{table}-{key}")
+    sink_tables.insert_into(staged.orders() if table == "orders" else staged.items(), table, name, overwrite=True,
+                            files=file_count(spark, [staged.path]))
     return spark.table(name)
 
 
@@ -183,25 +211,30 @@ def q_order_items_table(spark, sf_dir):
 
 # ------------------------------------------------------------------ validation
 
-def _loaded_vs_expected(spark, sf_dir):
-    flat = _flat(spark, sf_dir)
-    expected = V.count_table(spark, [("orders", flat.orders), ("order_items", flat.items)])
-    dest = scratch_path(spark, "load-validate")
-    paths = sink_tables.load(flat.orders, flat.items, dest, mode="overwrite")
-    loaded = V.count_table(spark, [(t, spark.read.parquet(p)) for t, p in paths.items()])
-    return expected, loaded
-
-
 def q_validate_counts(spark, sf_dir):
     """V1: loaded vs transformed rows per table."""
-    expected, loaded = _loaded_vs_expected(spark, sf_dir)
-    return V.validate_counts(expected, loaded)
+    done = load_version(spark, ensure_landing(spark, sf_dir), scratch_path(spark, "load-validate"))
+    return done.ledger.filter("step = 'loaded'").select(
+        "table_name", "expected", F.col("actual").alias("loaded"), "ok")
 
 
 def q_validate_nonempty(spark, sf_dir):
     """V2: both loaded tables hold rows."""
-    _, loaded = _loaded_vs_expected(spark, sf_dir)
-    return V.validate_nonempty(loaded)
+    done = load_version(spark, ensure_landing(spark, sf_dir), scratch_path(spark, "load-validate"))
+    return _counts(spark.read.parquet(done.version.files)).withColumn("ok", F.col("row_count") > 0)
+
+
+def q_reconcile_ledger(spark, sf_dir):
+    """What every step of a load took in and gave out."""
+    return load_version(spark, ensure_landing(spark, sf_dir), scratch_path(spark, "load-ledger")).ledger
+
+
+def q_document_rejects(spark, sf_dir):
+    """Documents that can't hold orders, with the reason (record text left out)."""
+    landing = scratch_path(spark, "landing-damaged")
+    fixture.damaged_documents(*warehouse_tables(spark, sf_dir)).write.text(landing)
+    return (stage_landing(spark, landing).rejects().filter("stage = 'document'")
+            .select("mode", "stage", "reason", "order_id"))
 
 
 def q_table_counts(spark, sf_dir):
@@ -210,25 +243,45 @@ def q_table_counts(spark, sf_dir):
 
 
 def q_sample_orders(spark, sf_dir):
-    """V4: five orders in sort-key order."""
-    return V.sample_orders(warehouse_tables(spark, sf_dir)[0])
+    """V4: five orders in sort-key order, from the files that can hold them."""
+    return versions.first_rows(warehouse_files(spark, sf_dir), "orders", 5, ORDERS_SORT_KEY)
 
 
 def q_sample_order_items(spark, sf_dir):
-    """V5: five items, fully tie-broken."""
-    return V.sample_order_items(warehouse_tables(spark, sf_dir)[1])
+    """V5: five items, fully tie-broken, from the files that can hold them."""
+    return versions.first_rows(warehouse_files(spark, sf_dir), "order_items", 5, ORDER_ITEMS_COLUMNS)
+
+
+#: The customer whose orders the registered lookup reads.
+LOOKUP_USER = 7
+
+
+def q_lookup_user_orders(spark, sf_dir):
+    """W6's sort key as an index: all orders of one customer."""
+    return versions.lookup(warehouse_files(spark, sf_dir), "orders", "user_id", LOOKUP_USER, LOOKUP_USER)
 
 
 def q_incremental_ingest(spark, sf_dir):
     """Daily run as a stream: every landed file flattened and loaded once
     (availableNow trigger, file-source checkpoint); returns the loaded orders."""
-    from cartscope.streaming import start_ingest
     dest = scratch_path(spark, "stream-warehouse")
     start_ingest(spark, ensure_landing(spark, sf_dir), dest,
                  checkpoint=scratch_path(spark, "stream-checkpoint")).awaitTermination()
     return spark.read.parquet(f"{dest}/orders").drop("ingest_batch")
 
 
+def q_ingest_redelivery(spark, sf_dir):
+    """Daily run on a source that delivers everything again: a first delivery, then
+    all orders once more, some changed and some new; returns each order once."""
+    orders, items = warehouse_tables(spark, sf_dir)
+    landing, dest = scratch_path(spark, "landing-daily"), scratch_path(spark, "merge-warehouse")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    for delivered in (fixture.first_delivery(orders, items), fixture.redelivery(orders, items)):
+        fixture.payload_documents(*delivered).write.mode("append").text(landing)
+        start_merge_ingest(spark, landing, dest, checkpoint=checkpoint).awaitTermination()
+    return _merged(spark, dest)
+
+
 ETL_QUERIES = {
     "read_orders_payload": q_read_orders_payload,
     "payload_summary": q_payload_summary,
@@ -237,6 +290,7 @@ ETL_QUERIES = {
     "write_flat_staging": q_write_flat_staging,
     "load_append": q_load_append,
     "load_snapshot": q_load_snapshot,
+    "load_merge": q_load_merge,
     "orders_table": q_orders_table,
     "order_items_table": q_order_items_table,
     "flatten_orders": q_flatten_orders,
@@ -252,10 +306,14 @@ ETL_QUERIES = {
     "flatten_order_items_raw": q_flatten_order_items_raw,
     "flatten_rejects": q_flatten_rejects,
     "transform_summary": q_transform_summary,
+    "document_rejects": q_document_rejects,
     "incremental_ingest": q_incremental_ingest,
+    "ingest_redelivery": q_ingest_redelivery,
     "validate_counts": q_validate_counts,
     "validate_nonempty": q_validate_nonempty,
+    "reconcile_ledger": q_reconcile_ledger,
     "table_counts": q_table_counts,
     "sample_orders": q_sample_orders,
     "sample_order_items": q_sample_order_items,
+    "lookup_user_orders": q_lookup_user_orders,
 }

@@ -62,7 +62,7 @@ def load(orders: DataFrame, items: DataFrame, dest: str, mode: str = "overwrite"
 
 
 def _ddl_columns(table: str) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
                      for f in SCHEMAS[table].fields)
 
 

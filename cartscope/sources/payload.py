@@ -33,7 +33,7 @@ def read_documents(spark: SparkSession, path: str | list[str],
              .withColumn("source_file", F.input_file_name()))
 
 
-def _orders_array(doc: F.Column, element: str = "variant") -> F.Column:
+def orders_array(doc: F.Column, element: str = "variant") -> F.Column:
     """Orders of a document — the envelope's ``orders``, or the list itself —
     cast to ``array<element>``."""
     t = f"array<{element}>"
@@ -68,7 +68,7 @@ def document_rejects(docs: DataFrame, mode: str = "lenient") -> DataFrame:
                     F.concat_ws(" ", "source_file", text).alias("record")))
 
 
-def _is_list(doc: F.Column) -> F.Column:
+def is_list(doc: F.Column) -> F.Column:
     """Is the document a bare list? An O(1) probe of the first element: the
     optimizer may evaluate this once per *order* (it is inlined above the
     explode), so it must not materialise the document. An empty list reads as
@@ -89,12 +89,12 @@ def explode_orders(docs: DataFrame, typed: dict[str, str] | None = None) -> Data
     ``orders`` yields none. Narrow (no shuffle): runs in the scan's tasks.
     """
     doc = F.col("doc")
-    arrays = [_orders_array(doc).alias("o")]
-    arrays += [_orders_array(doc, t).alias(name) for name, t in (typed or {}).items()]
+    arrays = [orders_array(doc).alias("o")]
+    arrays += [orders_array(doc, t).alias(name) for name, t in (typed or {}).items()]
     # Document-level columns are computed *below* the explode: anything left in
     # the explode's own select is evaluated after it, which would carry the
     # whole document on every generated order row.
-    per_doc = docs.select("source_file", _is_list(doc).alias("doc_is_list"),
+    per_doc = docs.select("source_file", is_list(doc).alias("doc_is_list"),
                           F.arrays_zip(*arrays).alias("_orders"))
     # explode_outer: an inner explode makes the optimizer add a
     # ``size(array) > 0`` filter that evaluates the casts a second time.
@@ -114,12 +114,19 @@ def read_orders_payload(spark: SparkSession, path: str | list[str],
     return explode_orders(read_documents(spark, path, multi_line), typed)
 
 
+def claimed_orders(doc: F.Column) -> F.Column:
+    """Orders the source says a document holds: ``total_orders``, or the number
+    found when it is absent or the payload is a list."""
+    found = F.size(orders_array(doc)).cast("long")
+    return F.when(is_list(doc), found).otherwise(
+        F.coalesce(F.try_variant_get(doc, "$.total_orders", "bigint"), found))
+
+
 def payload_summary(docs: DataFrame, with_timestamp: bool = True) -> DataFrame:
     """Documents, orders found, and orders the source claims to hold
     (``total_orders``; the found count when absent or when the payload is a list)."""
-    found = F.size(_orders_array(F.col("doc")))
-    claimed = F.when(_is_list(F.col("doc")), found).otherwise(
-        F.coalesce(F.try_variant_get("doc", "$.total_orders", "bigint"), found))
+    found = F.size(orders_array(F.col("doc")))
+    claimed = claimed_orders(F.col("doc"))
     out = docs.agg(F.count(F.lit(1)).alias("documents"),
                    F.sum(found).cast("long").alias("order_count"),
                    F.sum(claimed).cast("long").alias("total_orders"))
@@ -131,7 +138,7 @@ def payload_summary(docs: DataFrame, with_timestamp: bool = True) -> DataFrame:
 def payload_counts(docs: DataFrame) -> DataFrame:
     """Documents, orders and product rows of a landing, in one pass without
     exploding (per-document sizes summed with a higher-order ``aggregate``)."""
-    orders = _orders_array(F.col("doc"))
+    orders = orders_array(F.col("doc"))
     n_items = F.aggregate(
         orders, F.lit(0).cast("long"),
         lambda acc, o: acc + F.size(F.coalesce(F.try_variant_get(o, "$.products", "array<variant>"),

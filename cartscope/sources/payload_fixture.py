@@ -101,8 +101,8 @@ def nested_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
                     order_json.alias("order_json"))
 
 
-def payload_documents(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: ``value`` = its JSON text."""
+def payload_documents(orders: DataFrame, items: DataFrame, ids: bool = False) -> DataFrame:
+    """One row per document: ``value`` = its JSON text, with ``ids`` also ``doc_id``."""
     docs = (nested_orders(orders, items)
             .groupBy("doc_id")
             .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("order_json")),
@@ -114,7 +114,34 @@ def payload_documents(orders: DataFrame, items: DataFrame) -> DataFrame:
               .when(d % 7 == 3, F.concat(F.lit('{"orders":'), F.col("arr"), F.lit("}")))
               .otherwise(F.concat(F.lit('{"orders":'), F.col("arr"),
                                   F.lit(',"total_orders":'), claimed, F.lit("}"))))
-    return docs.select(value.alias("value"))
+    return docs.select(*(["doc_id"] if ids else []), value.alias("value"))
+
+
+def first_delivery(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All orders but those whose id ends in 7, which come with the next delivery."""
+    early = F.col("order_id") % 10 != 7
+    return orders.filter(early), items.filter(early)
+
+
+def redelivery(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All orders again; those whose id ends in 3 changed: five hours later, and
+    without the products beyond cart position 5."""
+    changed = F.col("order_id") % 10 == 3
+    hour = F.col("order_hour_of_day")
+    return (orders.withColumn("order_hour_of_day", F.when(changed, (hour + 5) % 24).otherwise(hour).cast("short")),
+            items.filter(~(changed & (F.col("add_to_cart_order") > 5))))
+
+
+def damaged_documents(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Documents of which three in four can't be read: by the document id modulo 4,
+    1 is cut short, 2 has a text for ``orders``, 3 is a bare text."""
+    docs = payload_documents(orders, items, ids=True)
+    kind = F.col("doc_id") % 4
+    value = F.col("value")
+    return docs.select(
+        F.when(kind == 1, F.substring(value, F.lit(1), F.length(value) - 1))
+         .when(kind == 2, F.lit('{"orders": "none", "total_orders": 1}'))
+         .when(kind == 3, F.lit('"text"')).otherwise(value).alias("value"))
 
 
 _RESOLVED: dict[tuple[str, str], str] = {}

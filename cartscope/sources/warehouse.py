@@ -133,5 +133,19 @@ def warehouse_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
             spark.read.schema(ORDER_ITEMS_SCHEMA).parquet(f"{root}/order_items"))
 
 
+def warehouse_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table of the warehouse's data files with their key ranges (built once)."""
+    from cartscope.sinks.versions import TABLES, file_table
+    root = ensure_warehouse(spark, sf_dir)
+    path = f"{root}-files"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        staging = scratch_path(spark, "file-tables")
+        parts = [file_table(spark.read.schema(schema).parquet(f"{root}/{t}"), t) for t, (schema, _) in TABLES.items()]
+        parts[0].unionByName(parts[1]).write.parquet(staging)
+        if not rename_path(spark, staging, path) and not path_exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"could not publish {path}")
+    return spark.read.parquet(path)
+
+
 def default_sf_dir() -> str:
     return os.environ.get("CARTSCOPE_SF_DIR", "/root/testdata/sf0.01")

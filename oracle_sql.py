@@ -219,6 +219,35 @@ ITEMS_COLS = ("order_id, user_id, product_id, product_name, aisle_id, aisle, dep
               "department, add_to_cart_order, reordered")
 
 
+ALL_COLS = ("order_id, user_id, order_number, order_dow, order_dow_name, order_hour_of_day, "
+            "days_since_prior_order, eval_set, total_items, total_reordered, product_id, product_name, aisle_id, "
+            "aisle, department_id, department, add_to_cart_order, reordered")
+
+
+def _all_cols(table: str, have: str) -> str:
+    names = have.split(", ")
+    return (f"SELECT '{table}' AS table_name, "
+            + ", ".join(c if c in names else f"NULL AS {c}" for c in ALL_COLS.split(", ")))
+
+
+def _redelivered(changed: str) -> str:
+    """Each order in its latest delivery; ``changed`` says which were changed."""
+    return f"""SELECT order_id, user_id, order_number, order_dow, order_dow_name,
+        CAST(CASE WHEN {changed} THEN (order_hour_of_day + 5) % 24 ELSE order_hour_of_day END AS SMALLINT)
+          AS order_hour_of_day, days_since_prior_order, eval_set,
+        CAST(coalesce(n, 0) AS INTEGER) AS total_items, CAST(coalesce(r, 0) AS INTEGER) AS total_reordered,
+        CAST(coalesce(n, 0) AS BIGINT) AS loaded_items
+        FROM e_orders LEFT JOIN (
+          SELECT order_id, count(*) AS n, sum(reordered) AS r FROM e_items
+          WHERE NOT (({changed}) AND add_to_cart_order > 5) GROUP BY order_id) USING (order_id)"""
+
+
+def _ledger(*lines: tuple[str, str, str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{step}' AS step, '{table}' AS table_name, CAST(({e}) AS BIGINT) AS expected, "
+        f"CAST(({a}) AS BIGINT) AS actual, ({e}) = ({a}) AS ok" for step, table, e, a in lines)
+
+
 def _counts(o: str, i: str, col: str = "row_count", k: int = 1) -> str:
     return (f"SELECT 'orders' AS table_name, CAST(count(*) * {k} AS BIGINT) AS {col} FROM {o} "
             f"UNION ALL SELECT 'order_items' AS table_name, CAST(count(*) * {k} AS BIGINT) "
@@ -235,7 +264,26 @@ ETL_SQL = {
         CAST(sum(total_items) AS BIGINT) AS item_count FROM w_orders""",
     "write_flat_staging": _counts("e_orders", "e_items"),
     "load_append": _counts("e_orders", "e_items", k=2),
-    "load_snapshot": f"SELECT {ORDERS_COLS} FROM e_orders",
+    "load_snapshot": f"""{_all_cols("orders", ORDERS_COLS)} FROM e_orders
+        UNION ALL {_all_cols("order_items", ITEMS_COLS)} FROM e_items""",
+    "load_merge": _redelivered("order_id % 10 = 3 AND (order_id // 1000) % 5 = 0"),
+    "ingest_redelivery": _redelivered("order_id % 10 = 3"),
+    "lookup_user_orders": f"SELECT {ORDERS_COLS} FROM w_orders WHERE user_id = 7",
+    "document_rejects": """SELECT 'lenient' AS mode, 'document' AS stage,
+        CASE doc_id % 4 WHEN 1 THEN 'not JSON or beyond the size limit'
+             WHEN 2 THEN 'orders is not a list' ELSE 'not an object or list' END AS reason,
+        CAST(NULL AS BIGINT) AS order_id FROM e_docs WHERE doc_id % 4 <> 0""",
+    "reconcile_ledger": _ledger(
+        ("readable", "documents", "SELECT count(*) FROM e_docs", "SELECT count(*) FROM e_docs"),
+        ("claimed", "orders", """SELECT sum(CASE WHEN doc_id % 5 = 4 OR doc_id % 7 = 3 THEN n ELSE n + doc_id % 3 END)
+         FROM e_docs""", "SELECT sum(n) FROM e_docs"),
+        ("staged", "orders", "SELECT sum(n) FROM e_docs", "SELECT count(*) FROM e_orders"),
+        ("accepted or rejected", "orders", "SELECT count(*) FROM w_orders", "SELECT count(*) FROM e_orders"),
+        ("accepted or rejected", "order_items", "SELECT count(*) FROM w_items", "SELECT count(*) FROM e_items"),
+        ("loaded", "orders", "SELECT count(*) FROM e_orders", "SELECT count(*) FROM e_orders"),
+        ("unchanged", "orders", "SELECT 0", "SELECT 0"),
+        ("loaded", "order_items", "SELECT count(*) FROM e_items", "SELECT count(*) FROM e_items"),
+        ("unchanged", "order_items", "SELECT 0", "SELECT 0")),
     "orders_table": f"SELECT {ORDERS_COLS} FROM e_orders",
     "order_items_table": f"SELECT {ITEMS_COLS} FROM e_items",
     "flatten_orders": f"SELECT {ORDERS_COLS} FROM e_orders",
