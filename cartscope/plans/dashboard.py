@@ -1,38 +1,28 @@
-"""Fused dashboard refresh: every series from a few first-level aggregates.
+"""Dashboard refresh: every series from one scan of each table.
 
 Run one by one, the overview, KPI, dashboard and insight queries scan the two
-tables about thirty times. Most of them are re-aggregations of the same small
-first-level aggregates, so a refresh computes those once — one scan each —
-materialises them (they are small: bounded by weekdays x hours, products,
-departments x products, users, cart positions) and derives every series from
-them:
-
-======================  ==================================================
-first-level aggregate   series derived from it
-======================  ==================================================
-orders KPI row          overview, kpi_total_orders/users, kpi_avg_items,
-                        kpi_avg_gap_days
-weekday x hour cells    orders_by_dow/hour, heatmap_dow_hour, viz_orders_by_*,
-                        viz_heatmap(_pivot), insight_busiest_day/peak_hours/
-                        promo_slot
-basket sizes            basket_size_dist, viz_basket_size
-gap values              viz_gap_days_hist
-eval sets               eval_set_dist
-users                   top_users, viz_top_users
-(product, dept, aisle)  top_products, viz_top_products, viz_top_reorder_rate,
-                        insight_top3_products, insight_keyword_share
-(dept, product)         top_departments, reorder_rate_by_department,
-                        viz_departments, viz_dept_reorder_rate,
-                        kpi_total_items, kpi_reorder_rate
-(aisle, dept, product)  top_aisles, viz_top_aisles
-cart positions          cart_position_reorder, viz_cart_position
-======================  ==================================================
-
-Re-aggregation keeps results identical to the direct queries: counts and
-sums add up, a mean is recomputed as ``sum / count`` in DOUBLE (what ``avg``
-does), and distinct products are counted on a (group, product) aggregate.
-The first-level aggregates are written under the shared work folder (a
-lineage cut that survives executor loss), then read back by each series.
+tables about thirty times. A refresh computes one cube per table instead, with
+grouping sets, writes it, and derives all 36 series from it:
+
+=========  ===============================  ==============================
+table      grouping set                     series derived from it
+=========  ===============================  ==============================
+orders     weekday, hour                    overview, order KPIs, weekday,
+                                            hour and heatmap series, R1-R3
+           basket size                      basket sizes
+           gap value                        gap histogram
+           evaluation set, user             evaluation sets, distinct and
+                                            top users
+items      product name, department, aisle  product rankings, R4, R5
+           department, aisle, product id    departments, aisles, item KPIs
+           cart position                    cart positions
+=========  ===============================  ==============================
+
+Cubes of different rows merge: counts and sums add up, maxima and distinct
+users and products follow from the merged groups, and means are kept as exact
+whole-number sums (``functions.exact``). So a batch of new rows costs one scan of
+the batch: ``add_batch`` keeps its cube, ``incremental`` merges the cubes of all
+batches without a look at earlier rows. Results equal those of the direct queries.
 """
 
 from __future__ import annotations
@@ -40,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartscope.functions.exact import fraction_units, mean_of_parts, whole_part
 from cartscope.plans import insights as R
 from cartscope.plans import metrics as M
 from cartscope.session import scratch_path
@@ -53,45 +44,98 @@ def _n() -> F.Column:
     return F.count(F.lit(1))
 
 
-def first_level(orders: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
-    """The small aggregates every series is derived from (lazy plans)."""
+_ORDER_SETS = {"cells": ["order_dow", "order_dow_name", "order_hour_of_day"], "baskets": ["total_items"],
+               "gaps": ["days_since_prior_order"], "eval_users": ["eval_set", "user_id"]}
+_ITEM_SETS = {"products": ["product_name", "department", "aisle"],
+              "aisle_products": ["department", "aisle", "product_id"], "carts": ["add_to_cart_order"]}
+#: Measures that add up when cubes merge; the others are maxima.
+_SUMS = ("n", "items", "n_gap", "gap_whole", "gap_units", "n_pct", "pct_whole", "pct_units", "r")
+
+
+def _cube(df: DataFrame, sets: dict[str, list[str]], measures: list[F.Column]) -> DataFrame:
+    """All grouping sets in one pass; ``level`` names the set of a row."""
+    keys = list(dict.fromkeys(k for cols in sets.values() for k in cols))
+    # bit i (from the left) of the grouping id is set where key i is not grouped by
+    ids = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in cols)
+           for name, cols in sets.items()}
+    cube = df.groupingSets([[F.col(k) for k in cols] for cols in sets.values()], *keys).agg(
+        F.grouping_id().alias("_set"), *measures)
+    level = F.lit(None).cast("string")
+    for name, number in ids.items():
+        level = F.when(F.col("_set") == number, name).otherwise(level)
+    return cube.withColumn("level", level).drop("_set")
+
+
+def cubes(orders: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
+    """The two cubes (lazy plans, one scan each)."""
+    # measures are computed below the grouping sets: a key column is null above
+    gap, pct = F.col("days_since_prior_order"), M.order_reorder_pct()
+    wide = orders.select(
+        *dict.fromkeys(k for cols in _ORDER_SETS.values() for k in cols), "order_number",
+        F.col("total_items").alias("_items"), gap.alias("_gap"), pct.alias("_pct"))
+    o = _cube(wide, _ORDER_SETS, [
+        _n().alias("n"), F.sum("_items").alias("items"), F.max("order_number").alias("max_order_number"),
+        F.count("_gap").alias("n_gap"), F.sum(whole_part(F.col("_gap"))).alias("gap_whole"),
+        F.sum(fraction_units(F.col("_gap"))).alias("gap_units"),
+        F.count("_pct").alias("n_pct"), F.sum(whole_part(F.col("_pct"))).alias("pct_whole"),
+        F.sum(fraction_units(F.col("_pct"))).alias("pct_units")])
+    i = _cube(items, _ITEM_SETS, [_n().alias("n"), F.sum("reordered").alias("r")])
+    return {"orders": o, "items": i}
+
+
+_STATE = {
+    "orders": "order_dow smallint, order_dow_name string, order_hour_of_day smallint, total_items int, "
+              "days_since_prior_order float, eval_set string, user_id long, n long, items long, "
+              "max_order_number long, n_gap long, gap_whole long, gap_units long, n_pct long, pct_whole long, "
+              "pct_units long, batch string, level string",
+    "items": "product_name string, department string, aisle string, product_id long, "
+             "add_to_cart_order smallint, n long, r long, batch string, level string"}
+
+
+def add_batch(spark: SparkSession, state: str, batch: str, orders: DataFrame, items: DataFrame) -> None:
+    """Keep the cubes of one batch of new rows under ``state``. The batch's name
+    makes a repeated call replace its own cubes instead of counting twice."""
+    for name, cube in cubes(orders, items).items():
+        cube.write.mode("overwrite").partitionBy("level").parquet(f"{state}/{name}/batch={batch}")
+
+
+def _merge(df: DataFrame, keys: list[str]) -> DataFrame:
+    out = [F.sum(c).alias(c) for c in df.columns if c in _SUMS]
+    if "max_order_number" in df.columns:
+        out.append(F.max("max_order_number").alias("max_order_number"))
+    return df.groupBy(*keys).agg(*out)
+
+
+def first_level(orders_cube: DataFrame, items_cube: DataFrame) -> dict[str, DataFrame]:
+    """The small aggregates every series is derived from, out of written cubes
+    (several batches merge here; partition pruning reads one level each)."""
+    def level(cube: DataFrame, sets: dict[str, list[str]], name: str, keys: list[str] | None = None) -> DataFrame:
+        return _merge(cube.filter(F.col("level") == name), keys or sets[name])
+    o, i = (lambda name: level(orders_cube, _ORDER_SETS, name)), (lambda name: level(items_cube, _ITEM_SETS, name))
+    cells, eval_users = o("cells"), o("eval_users")
+    users = _merge(eval_users, ["user_id"])
+    kpis = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.sum("items").alias("total_items_ordered"),
+                     *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_gap", "gap_whole", "gap_units")])
+    products = i("aisle_products")
     return {
-        "kpis": orders.agg(
-            _n().alias("total_orders"),
-            F.countDistinct("user_id").alias("total_users"),
-            F.sum("total_items").alias("total_items_ordered"),
-            F.count("days_since_prior_order").alias("n_gap"),
-            F.sum(F.col("days_since_prior_order").cast("double")).alias("sum_gap")),
-        "cells": orders.groupBy("order_dow", "order_dow_name", "order_hour_of_day")
-                       .agg(_n().alias("n")),
-        "baskets": orders.groupBy("total_items").agg(_n().alias("n")),
-        "gaps": orders.filter(F.col("days_since_prior_order").isNotNull())
-                      .groupBy("days_since_prior_order").agg(_n().alias("n")),
-        "eval_sets": orders.groupBy("eval_set").agg(
-            _n().alias("total_orders"), F.countDistinct("user_id").alias("total_users")),
-        "users": M._user_stats(orders),
-        "products": items.groupBy("product_name", "department", "aisle").agg(
-            _n().alias("n"), F.sum("reordered").alias("r")),
-        "dept_products": items.groupBy("department", "product_id").agg(
-            _n().alias("n"), F.sum("reordered").alias("r")),
-        "aisle_products": items.groupBy("aisle", "department", "product_id").agg(
-            _n().alias("n")),
-        "carts": items.filter(F.col("add_to_cart_order") <= M.CART_POSITION_LIMIT)
-                      .groupBy("add_to_cart_order")
-                      .agg(_n().alias("n"), F.sum("reordered").alias("r")),
+        "kpis": R._one_row(kpis, users.agg(_n().alias("total_users"))),
+        "cells": cells.select("order_dow", "order_dow_name", "order_hour_of_day", "n"),
+        "baskets": o("baskets").select("total_items", "n"),
+        "gaps": o("gaps").filter("days_since_prior_order IS NOT NULL").select("days_since_prior_order", "n"),
+        "eval_sets": eval_users.groupBy("eval_set").agg(F.sum("n").alias("total_orders"), _n().alias("total_users")),
+        "users": users.select(
+            "user_id", F.col("n").alias("total_orders"), F.col("items").alias("total_items_ordered"),
+            "max_order_number",
+            F.bround(mean_of_parts(F.col("gap_whole"), F.col("gap_units"), F.col("n_gap")), 1)
+             .alias("avg_days_between_orders"),
+            mean_of_parts(F.col("pct_whole"), F.col("pct_units"), F.col("n_pct")).alias("_mean_order_reorder_pct")),
+        "products": i("products"),
+        "dept_products": _merge(products, ["department", "product_id"]),
+        "aisle_products": products,
+        "carts": i("carts").filter(F.col("add_to_cart_order") <= M.CART_POSITION_LIMIT),
     }
 
 
-def materialise(spark: SparkSession, parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write each first-level aggregate once and return scans of the copies."""
-    root = scratch_path(spark, "dashboard")
-    out = {}
-    for name, df in parts.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        out[name] = spark.read.parquet(f"{root}/{name}")
-    return out
-
-
 def _mean(s: str, n: str) -> F.Column:
     return F.col(s).cast("double") / F.col(n)
 
@@ -114,8 +158,8 @@ def series(a: dict[str, DataFrame], keyword: str = R.DEFAULT_KEYWORD) -> dict[st
     by_hour = cells.groupBy("order_hour_of_day").agg(F.sum("n").alias("total_orders"))
     out: dict[str, DataFrame] = {}
 
-    avg_items = F.col("total_items_ordered").cast("double") / F.col("total_orders")
-    avg_gap = F.col("sum_gap") / F.col("n_gap")
+    avg_items = F.try_divide(F.col("total_items_ordered").cast("double"), F.col("total_orders"))
+    avg_gap = mean_of_parts(F.col("gap_whole"), F.col("gap_units"), F.col("n_gap"))
     out["overview"] = k.select("total_orders", "total_users", "total_items_ordered",
                                F.bround(avg_items, 2).alias("avg_items_per_order"),
                                F.bround(avg_gap, 1).alias("avg_days_between_orders"))
@@ -259,8 +303,27 @@ def direct(orders: DataFrame, items: DataFrame,
     return out
 
 
+def incremental(spark: SparkSession, state: str, keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
+    """All dashboard series from the cubes of the batches kept under ``state``."""
+    kept = [spark.read.schema(schema).parquet(f"{state}/{name}") for name, schema in _STATE.items()]
+    return series(first_level(*kept), keyword)
+
+
 def refresh(spark: SparkSession, orders: DataFrame, items: DataFrame,
             keyword: str = R.DEFAULT_KEYWORD) -> dict[str, DataFrame]:
-    """All dashboard series, whatever the size of the tables: each table is
-    scanned once per first-level aggregate and every series derives from them."""
-    return series(materialise(spark, first_level(orders, items)), keyword)
+    """All dashboard series, whatever the size of the tables, from one scan of each."""
+    state = scratch_path(spark, "dashboard")
+    add_batch(spark, state, "all", orders, items)
+    return incremental(spark, state, keyword)
+
+
+def as_rows(found: dict[str, DataFrame]) -> DataFrame:
+    """All series in one table: ``series`` and ``row``, a row's values by column name."""
+    def text(c: str) -> F.Column:
+        return F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("")))
+    parts = [df.select(F.lit(name).alias("series"), F.concat_ws("|", *[text(c) for c in sorted(df.columns)]).alias("row"))
+             for name, df in found.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cartscope.operators import validate as V
 from cartscope.operators.normalize import Flattened, flatten, transform_summary
+from cartscope.plans import dashboard
 from cartscope.plans.loads import load_version, merge_version
 from cartscope.plans.staging import stage_landing
 from cartscope.schema import ORDER_ITEMS_COLUMNS, ORDERS_SORT_KEY
@@ -282,6 +283,27 @@ def q_ingest_redelivery(spark, sf_dir):
     return _merged(spark, dest)
 
 
+# ------------------------------------------------------------------- dashboard
+
+#: The report's keyword does not occur in the test data's product names.
+DASHBOARD_KEYWORD = "rod"
+
+
+def q_dashboard_refresh(spark, sf_dir):
+    """All dashboard series as text rows, from one scan of each table."""
+    return dashboard.as_rows(dashboard.refresh(spark, *warehouse_tables(spark, sf_dir), DASHBOARD_KEYWORD))
+
+
+def q_dashboard_incremental(spark, sf_dir):
+    """The same from three batches of orders, each scanned once and then merged."""
+    orders, items = warehouse_tables(spark, sf_dir)
+    state = scratch_path(spark, "dashboard-state")
+    for k in range(3):
+        mine = F.col("order_id") % 3 == k
+        dashboard.add_batch(spark, state, str(k), orders.filter(mine), items.filter(mine))
+    return dashboard.as_rows(dashboard.incremental(spark, state, DASHBOARD_KEYWORD))
+
+
 ETL_QUERIES = {
     "read_orders_payload": q_read_orders_payload,
     "payload_summary": q_payload_summary,
@@ -316,4 +338,6 @@ ETL_QUERIES = {
     "sample_orders": q_sample_orders,
     "sample_order_items": q_sample_order_items,
     "lookup_user_orders": q_lookup_user_orders,
+    "dashboard_refresh": q_dashboard_refresh,
+    "dashboard_incremental": q_dashboard_incremental,
 }

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartscope.functions import rate_pct, ratio_pct
+from cartscope.functions.exact import exact_mean
 from cartscope.schema import CART_POSITION_LIMIT, MIN_TIMES_ORDERED, snake_columns
 
 TOP_K = 10
@@ -48,7 +49,7 @@ def overview(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
         F.countDistinct("user_id").alias("total_users"),
         F.sum("total_items").alias("total_items_ordered"),
         F.bround(F.avg("total_items"), 2).alias("avg_items_per_order"),
-        F.bround(F.avg("days_since_prior_order"), 1).alias("avg_days_between_orders"),
+        F.bround(exact_mean(F.col("days_since_prior_order")), 1).alias("avg_days_between_orders"),
     )
 
 
@@ -133,14 +134,18 @@ def reorder_rate_by_department(orders: DataFrame | None, items: DataFrame) -> Da
              .orderBy(F.desc("reorder_rate_pct"), *asc("department")))
 
 
+def order_reorder_pct() -> Column:
+    """Reordered share (%) of one order; NULL for an order without items."""
+    return F.try_divide(F.col("total_reordered").cast("double") * F.lit(100.0), F.col("total_items"))
+
+
 def _user_stats(orders: DataFrame) -> DataFrame:
     return orders.groupBy("user_id").agg(
         _n().alias("total_orders"),
         F.sum("total_items").alias("total_items_ordered"),
         F.max("order_number").alias("max_order_number"),
-        F.bround(F.avg("days_since_prior_order"), 1).alias("avg_days_between_orders"),
-        F.avg(F.try_divide(F.col("total_reordered").cast("double") * F.lit(100.0),
-                           F.col("total_items"))).alias("_mean_order_reorder_pct"),
+        F.bround(exact_mean(F.col("days_since_prior_order")), 1).alias("avg_days_between_orders"),
+        exact_mean(order_reorder_pct()).alias("_mean_order_reorder_pct"),
     )
 
 
@@ -208,7 +213,7 @@ def kpi_avg_items(orders: DataFrame, items: DataFrame | None = None) -> DataFram
 
 def kpi_avg_gap_days(orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
     return (orders.filter(F.col("days_since_prior_order").isNotNull())
-                  .agg(F.bround(F.avg("days_since_prior_order"), 1)
+                  .agg(F.bround(exact_mean(F.col("days_since_prior_order")), 1)
                        .alias("avg_days_between_orders")))
 
 

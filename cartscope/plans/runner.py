@@ -1,26 +1,24 @@
 """The order pipeline as one Spark application: ingest -> flatten -> load -> validate.
 
 Stages map to the source pipeline's tasks (extract, transform, load,
-validate); there are no local temp files, so there is no cleanup task. The
-parsed orders are persisted once and feed both outputs and the rejects; the
-load writes straight from them.
+validate); there are no local temp files, so there is no cleanup task. The landing
+is parsed once into a written table (``plans.staging``) that feeds both outputs, the
+rejects and the counts. ``plans.loads`` has the same run with versions that change
+both tables at once and a ledger of every step.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartscope.operators import validate as V
-from cartscope.operators.normalize import cast_targets, flatten
-from cartscope.sinks.tables import load
+from cartscope.plans.staging import stage_landing
 from cartscope.session import file_count
-from cartscope.sources.payload import (
-    document_problem, document_rejects, explode_orders, payload_summary, read_documents,
-)
+from cartscope.sinks.tables import load
 
 
 @dataclass
@@ -47,28 +45,24 @@ def run_etl(spark: SparkSession, landing: str, warehouse: str,
     ``require_nonempty``, when a loaded table is empty (the runner's check).
     ``skip_empty`` leaves a table untouched when the transform produced no rows
     for it (the scheduled pipeline's load); its expected count is then 0."""
-    docs = read_documents(spark, landing, multi_line)
-    bad_docs = document_rejects(docs, mode)
-    n_bad = bad_docs.count()
-    summary = payload_summary(docs).withColumn("unreadable_documents", F.lit(n_bad).cast("long"))
+    staged = stage_landing(spark, landing, mode, multi_line)
+    seen = staged.seen
+    n_bad = seen["unreadable"]
+    summary = spark.createDataFrame(
+        [(seen["documents"], seen["found"], seen["claimed"], n_bad)],
+        "documents long, order_count long, total_orders long, unreadable_documents long"
+    ).withColumn("fetched_at", F.current_timestamp())
     rejects_path = f"{warehouse}/_rejects"
     if n_bad and fail_on_bad_documents:
-        bad_docs.write.mode(load_mode).parquet(rejects_path)
-        raise ValueError(f"{n_bad} unreadable documents, see {rejects_path}; nothing was loaded")
-    parsed = explode_orders(docs.filter(document_problem(F.col("doc")).isNull()), cast_targets(mode)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        flat = flatten(parsed, mode)
-        flat.rejects.unionByName(bad_docs).write.mode(load_mode).parquet(rejects_path)
-        # transform counts are observed while the load writes: no second pass
-        obs = {t: Observation(f"transform_{t}") for t in ("orders", "order_items")}
-        files = file_count(spark, [landing])
-        paths = load(flat.orders, flat.items, warehouse, load_mode, observations=obs,
-                     files=files, skip_empty=skip_empty)
-    finally:
-        parsed.unpersist()
+        failed = f"{warehouse}/_rejects_failed/{uuid.uuid4().hex}"  # those of the last good run stay
+        staged.rejects().write.parquet(failed)
+        raise ValueError(f"{n_bad} unreadable documents, see {failed}; nothing was loaded")
+    staged.rejects().write.mode(load_mode).parquet(rejects_path)
+    paths = load(staged.orders(), staged.items(), warehouse, load_mode,
+                 files=file_count(spark, [staged.path]), skip_empty=skip_empty)
+    # counted while the landing was parsed, before the load
     expected = spark.createDataFrame(
-        [(t, int(obs[t].get["n"]) if t in paths else 0) for t in ("orders", "order_items")],
+        [(t, seen[f"{name}_accepted"] if t in paths else 0) for t, name in (("orders", "orders"), ("order_items", "items"))],
         "table_name string, n long")
     loaded = V.count_table(spark, [(t, spark.read.parquet(p)) for t, p in paths.items()])
     checks = V.validate_counts(expected, loaded)

@@ -361,8 +361,64 @@ INSIGHT_SQL = {
 }
 
 
+# Columns of each dashboard series, in alphabetical order.
+SERIES_COLUMNS = {
+    "overview": "avg_days_between_orders avg_items_per_order total_items_ordered total_orders total_users",
+    "orders_by_dow": "day_of_week order_dow total_orders",
+    "orders_by_hour": "hour total_orders",
+    "basket_size_dist": "items_in_order order_count",
+    "top_products": "aisle department product_name reorder_rate_pct times_ordered times_reordered",
+    "top_departments": "department items_ordered reorder_rate_pct reordered_count unique_products",
+    "top_aisles": "aisle department items_ordered unique_products",
+    "reorder_rate_by_department": "department reorder_rate_pct reordered total_items",
+    "top_users": "avg_days_between_orders max_order_number total_items_ordered total_orders user_id",
+    "cart_position_reorder": "cart_position reorder_rate_pct times_ordered",
+    "heatmap_dow_hour": "day_of_week hour order_dow total_orders",
+    "eval_set_dist": "eval_set total_orders total_users",
+    "kpi_total_orders": "total_orders",
+    "kpi_total_users": "total_users",
+    "kpi_total_items": "total_items_ordered",
+    "kpi_avg_items": "avg_items_per_order",
+    "kpi_avg_gap_days": "avg_days_between_orders",
+    "kpi_reorder_rate": "overall_reorder_rate_pct",
+    "viz_orders_by_dow": "day dow_0_sun total_orders",
+    "viz_orders_by_hour": "hour_0_23 total_orders",
+    "viz_heatmap": "day hour order_dow orders",
+    "viz_heatmap_pivot": " ".join(["day", *(f"h{h:02d}" for h in range(24)), "h_other", "order_dow"]),
+    "viz_gap_days_hist": "days_since_prior_order order_count",
+    "viz_top_products": "aisle department product reorder_rate_pct times_ordered times_reordered",
+    "viz_top_reorder_rate": "department product reorder_rate_pct times_ordered",
+    "viz_basket_size": "items_in_order number_of_orders",
+    "viz_departments": "department items_ordered reorder_rate_pct reordered_count unique_products",
+    "viz_top_aisles": "aisle department items_ordered unique_products",
+    "viz_dept_reorder_rate": "department reorder_rate_pct reordered total_items",
+    "viz_top_users": "avg_days_between_orders avg_reorder_rate_pct max_order_number total_items_ordered"
+        " total_orders user_id",
+    "viz_cart_position": "cart_position reorder_rate_pct times_at_this_position",
+    "insight_busiest_day": "busiest_day busiest_day_orders quietest_day quietest_day_orders",
+    "insight_peak_hours": "avg_orders_per_hour_after_17 avg_orders_per_hour_to_17 peak_hour peak_hour_orders"
+        " second_hour second_hour_orders",
+    "insight_promo_slot": "busiest_cell_day busiest_cell_hour busiest_cell_orders promo_day promo_hour",
+    "insight_top3_products": "aisle department product_name reorder_rate_pct times_ordered times_reordered",
+    "insight_keyword_share": "keyword products_with_keyword share_pct top_n",
+}
+
+
+def _dashboard() -> str:
+    """All series as text rows ``column=value|...``."""
+    parts = []
+    for name, columns in SERIES_COLUMNS.items():
+        sql = METRIC_SQL.get(name)
+        sql = sql if sql is not None else f"WITH {INSIGHT_SQL[name].lstrip(', ')}" \
+            if INSIGHT_SQL[name].startswith(",") else INSIGHT_SQL[name]
+        row = ", ".join(f"'{c}=' || coalesce(CAST({c} AS VARCHAR), '')" for c in columns.split())
+        parts.append(f"SELECT '{name}' AS series, concat_ws('|', {row}) AS row FROM ({sql}) AS t")
+    return "\nUNION ALL ".join(parts)
+
+
 def all_sql() -> dict[str, str]:
     out = {k: _w(v) for k, v in METRIC_SQL.items()}
     out.update({k: f"WITH {WAREHOUSE_CTE}, {ETL_CTE}\n{v}" for k, v in ETL_SQL.items()})
     out.update({k: f"WITH {WAREHOUSE_CTE}{v}" for k, v in INSIGHT_SQL.items()})
+    out.update(dict.fromkeys(("dashboard_refresh", "dashboard_incremental"), _w(_dashboard())))
     return out
