@@ -21,8 +21,8 @@ patterns that hold them, at most some ten thousand entries.
 
 Token ids are those of the tokenizer file ``byte_bpe_50k.json``; the tasks
 compute them with the same vocabulary as ranks (``byte_bpe_50k.tiktoken``),
-which is several times faster and tested to give the same ids. The text of a
-special token is ordinary text.
+which is several times faster and tested to give the same ids. The text of the
+special token is its id, as that tokenizer gives it.
 
 Defined results: a null or empty text is the separator alone; equal rows are
 packed each; a null doc_id is packed like any other; other columns are ignored.
@@ -46,6 +46,8 @@ CAPACITY = 1024
 STEP = 4
 SEPARATOR = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The tokenizer file's special token.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: Documents ranked by one task.
 DOCS_PER_SALT = 50_000
 
@@ -67,7 +69,11 @@ def encoder(vocabulary: str = VOCABULARY):
 
 
 def token_ids(text: str, separator: int = SEPARATOR, vocabulary: str = VOCABULARY) -> np.ndarray:
-    ids = encoder(vocabulary).encode_ordinary(text)
+    first, *rest = text.split(SPECIAL) if SPECIAL in text else (text,)
+    ids = encoder(vocabulary).encode_ordinary(first)
+    for part in rest:
+        ids.append(SPECIAL_ID)
+        ids.extend(encoder(vocabulary).encode_ordinary(part))
     ids.append(separator)
     return np.array(ids, dtype="<u4")
 
@@ -271,9 +277,9 @@ def _dealer(slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
                 seq[at] = base[k] + pos // copies[k]
                 place[at] = start[k] + pos % copies[k]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "start", "length", "crc", "doc_tokens", "piece")),
+                [*(batch.column(c) for c in ("doc_id", "start", "length", "crc", "doc_tokens", "row")),
                  pa.array(seq), pa.array(place)],
-                names=["doc_id", "start", "length", "crc", "doc_tokens", "piece", "sequence_id", "place"])
+                names=["doc_id", "start", "length", "crc", "doc_tokens", "row", "sequence_id", "place"])
     return deal
 
 
@@ -326,10 +332,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR,
             .join(offsets, ["cls", "salt"])
             .select("doc_id", (F.col("full") * capacity).alias("start"), F.col("rem").cast("long").alias("length"),
                     F.element_at("crcs", -1).alias("crc"), "doc_tokens", "cls",
-                    (F.col("local") + F.col("skip")).alias("rank"),
-                    F.substring("ids", F.col("full").cast("int") * (4 * capacity) + 1, F.col("rem") * 4).alias("piece")))
+                    (F.col("local") + F.col("skip")).alias("rank"), "row"))
     placed = rest.mapInArrow(_dealer(slots), "doc_id long, start long, length long, crc long, "
-                             "doc_tokens long, piece binary, sequence_id long, place long")
+                             "doc_tokens long, row long, sequence_id long, place long")
     left_of = (Window.partitionBy("sequence_id").orderBy("place")  # at most capacity pieces
                .rowsBetween(Window.unboundedPreceding, -1))
     dealt = placed.withColumn("offset", F.coalesce(F.sum("length").over(left_of), F.lit(0))).drop("place")
@@ -341,15 +346,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR,
     whole = (sized.filter("full > 0")
              .withColumn("local", F.coalesce(F.sum("full").over(run), F.lit(0)))
              .join(whole_skip, "salt")
-             .select("doc_id", "doc_tokens", "crcs", "ids", (F.col("local") + F.col("skip") + packed).alias("first"),
+             .select("doc_id", "doc_tokens", "crcs", "row", (F.col("local") + F.col("skip") + packed).alias("first"),
                      F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("k"))
              .select("doc_id", (F.col("k") * capacity).alias("start"), F.lit(capacity).cast("long").alias("length"),
-                     F.element_at("crcs", (F.col("k") + 1).cast("int")).alias("crc"), "doc_tokens",
-                     F.substring("ids", F.col("k").cast("int") * (4 * capacity) + 1, F.lit(4 * capacity)).alias("piece"),
+                     F.element_at("crcs", (F.col("k") + 1).cast("int")).alias("crc"), "doc_tokens", "row",
                      (F.col("first") + F.col("k")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    out = dealt.unionByName(whole).withColumnsRenamed({"crc": "ids_crc32", "piece": "ids"})
+    out = dealt.unionByName(whole).withColumnRenamed("crc", "ids_crc32")
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return out.select(*cols, *(["ids"] if with_ids else []))
+    if not with_ids:
+        return out.select(*cols)
+    # the ids meet their places at the end, one exchange of them in all
+    piece = F.substring("ids", F.col("start").cast("int") * 4 + 1, F.col("length").cast("int") * 4)
+    return out.join(tokens.select("row", "ids"), "row").select(*cols, piece.alias("ids"))
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:
