@@ -6,9 +6,16 @@ family, one machine for each pair of languages separates the close relatives.
 Both levels vote one against one. With a family of one language the second
 level has nothing to decide.
 
-Training uses a bounded sample of labelled rows, ``PER_LANGUAGE`` of each
-language drawn by a hash, so the fit on the driver does not grow with the
-corpus. Predictions read the whole text of every document, batch by batch.
+Training uses a bounded sample of labelled rows: about ``PER_LANGUAGE`` distinct texts of
+each language, drawn by a hash of the text (copies of a drawn text count once). The
+machines are fitted in one task on that sample; only the weights come to the driver.
+Predictions read the whole text of every document, batch by batch.
+
+A prediction is *typical* if the text is as near to the mean of its language as
+texts of its length are: the bound is taken from the sample, per power of two of the
+length, as a share of the nearness of its least typical texts. So it doesn't depend on
+the number of languages; other languages, scripts and letter noise are not typical.
+Lengths shorter than any in the sample are always typical.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
 without any labelled row everything is ``und``; a language without a known
@@ -18,6 +25,7 @@ any other; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -81,7 +89,7 @@ def _dot(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0, steps: int = STEPS) -> np.ndarray:
     """Squared-hinge linear machine with bias (last weight), by accelerated
     gradient steps; both classes weigh the same. ``y`` is +1 or -1."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * cost
     w = np.zeros(x.shape[1])
     look, t = w, 1.0
@@ -125,10 +133,32 @@ def fit_machine(x: np.ndarray, labels: np.ndarray) -> Machine:
     return m
 
 
+def _nearness(x: np.ndarray, langs, means: dict[str, np.ndarray]) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, np.stack([means[v] for v in langs]))
+
+
+#: Texts of a length class from which a bound is taken.
+LEAST_TEXTS = 30
+#: At sf0.01 the least typical labelled texts (one word over and over) are at 0.87 of
+#: their class's least typical hundredth, letter noise is at 0.8 and other scripts at 0.2.
+SLACK = 0.85
+
+
 @dataclass
 class LanguageModel:
     family: Machine
     languages: dict[str, Machine]
+    #: mean of each language, and per length class the least nearness to it
+    means: dict[str, np.ndarray] = field(default_factory=dict)
+    bounds: dict[int, float] = field(default_factory=dict)
+
+    def typical(self, x: np.ndarray, langs: list[str], sizes: list[int]) -> list[bool]:
+        near = _nearness(x, langs, self.means) if langs else []
+        out = []
+        for c, size in zip(near, sizes):
+            known = [k for k in self.bounds if k <= size.bit_length()]
+            out.append(not known or bool(c >= self.bounds[max(known)]))
+        return out
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         by_family = self.family.shares(x)
@@ -151,84 +181,118 @@ def _featurize(batches):
     for batch in batches:
         for lo in range(0, len(batch), 256):
             part = batch.slice(lo, 256)
+            texts = part.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([features(t).astype("<f2").tobytes()
-                                           for t in part.column(1).to_pylist()], pa.binary())],
-                names=["lang", "x"])
+                [part.column(0), pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array([features(t).astype("<f2").tobytes() for t in texts], pa.binary())],
+                names=["lang", "size", "x"])
+
+
+def _closeness_bounds(near: np.ndarray, sizes: np.ndarray) -> dict[int, float]:
+    """Per length class ``SLACK`` of the nearness that one text in a hundred is below."""
+    classes = np.array([int(n).bit_length() for n in sizes])
+    return {k: float(SLACK * np.quantile(near[classes == k], 0.01))
+            for k in np.unique(classes).tolist() if (classes == k).sum() >= LEAST_TEXTS}
+
+
+def _fit(table: pa.Table) -> pa.Table:
+    """The model of a sample, as bytes."""
+    x = np.frombuffer(b"".join(table.column("x").to_pylist()), "<f2").reshape(-1, DIM).astype(np.float32)
+    sizes = table.column("size").to_numpy()
+    lang = np.array(table.column("lang").to_pylist(), dtype=object)
+    # the rows' order is that of the shuffle: the sums below shall not depend on it
+    order = np.lexsort((x[:, 1], x[:, 0], sizes, lang.astype(str)))
+    x, sizes, lang = x[order], sizes[order], lang[order]
+    families = np.array([family_of(v) for v in lang], dtype=object)
+    means = {}
+    for v in sorted(set(lang)):
+        mean = x[lang == v].mean(axis=0, dtype=np.float64)
+        means[v] = mean / max(np.sqrt((mean * mean).sum()), 1e-9)
+    model = LanguageModel(
+        fit_machine(x, families),
+        {f: fit_machine(x[families == f], lang[families == f]) for f in sorted(set(families))}, means)
+    model.bounds = _closeness_bounds(_nearness(x, lang, means), sizes)
+    return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+
+def draw_sample(rows: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame | None:
+    """Of rows ``lang, text`` with a language and a letter: about ``per_language``
+    distinct texts of each language, all of a language that has fewer rows."""
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return None
+    rate = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_language / n))])
+    drawn = (rows.withColumn("key", F.xxhash64("text"))
+             .filter(F.pmod("key", F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000))
+    # copies of a text: one a task, then one at all
+    return drawn.groupBy("lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def train(docs: DataFrame, is_training: Column, text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """Fit on a bounded sample: about ``per_language`` rows of each language,
-    all rows of a language that has fewer."""
+    """Fit in one task on a bounded sample, see ``draw_sample``."""
     ship_package(docs.sparkSession)
-    rows = docs.filter(is_training).select(
-        docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text")) \
-        .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    sample = draw_sample(docs.filter(is_training).select(
+        docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text")), per_language)
+    if sample is None:
         return None
-    rate = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000
-    if sum(counts.values()) <= per_language * len(counts) // 2:
-        draw = F.lit(True)
-    # at most about per_language rows a language, 4 KB each
-    got = rows.filter(draw).mapInArrow(_featurize, "lang string, x binary").toArrow()
-    if not len(got):
-        return None
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), "<f2").reshape(-1, DIM).astype(np.float64)
-    lang = np.array(got.column("lang").to_pylist(), dtype=object)
-    families = np.array([family_of(v) for v in lang], dtype=object)
-    return LanguageModel(fit_machine(x, families),
-                         {f: fit_machine(x[families == f], lang[families == f]) for f in set(families)})
+    got = (sample.mapInArrow(_featurize, "lang string, size long, x binary")
+           .groupBy().applyInArrow(_fit, "model binary").first())
+    return pickle.loads(bytes(got["model"])) if got else None
 
 
 def _predictor(model: LanguageModel | None):
     def predict(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("__text"))
-            lang, score = [], []
+            lang, score, typical = [], [], []
             for i, j, data, off in text_chunks(texts):
                 blob = data.tobytes()
                 part = [blob[a:b].decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:])]
                 named = [k for k, t in enumerate(part) if model and _LETTER.search(t)]
-                got, p = [UNKNOWN] * len(part), [0.0] * len(part)
+                got, p, near = [UNKNOWN] * len(part), [0.0] * len(part), [False] * len(part)
                 for lo in range(0, len(named), 256):
                     some = named[lo:lo + 256]
-                    ls, ss = model.predict(np.stack([features(part[k]) for k in some]))
-                    for k, l, s in zip(some, ls, ss):
-                        got[k], p[k] = l, float(s)
+                    x = np.stack([features(part[k]) for k in some])
+                    ls, ss = model.predict(x)
+                    good = model.typical(x, ls, [len(part[k]) for k in some])
+                    for k, l, s, g in zip(some, ls, ss, good):
+                        got[k], p[k], near[k] = l, float(s), g
                 lang += got
                 score += p
+                typical += near
             rest = [c for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in rest),
-                 pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=[*rest, "lang_pred", "score"])
+                 pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(typical, pa.bool_())],
+                names=[*rest, "lang_pred", "score", "typical"])
     return predict
 
 
 def identify(rows: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """``rows`` with ``lang_pred`` and ``score`` added (columns of these names
-    are replaced)."""
+    """``rows`` with ``lang_pred``, ``score`` and ``typical`` added (columns of these
+    names are replaced)."""
     ship_package(rows.sparkSession)
-    keep = [c for c in rows.columns if c not in ("lang_pred", "score", "__text")]
+    added = ("lang_pred", "score", "typical")
+    keep = [c for c in rows.columns if c not in (*added, "__text")]
     given = rows.select(*keep, rows[text_col].cast("string").alias("__text"))
     schema = StructType([f for f in given.schema if f.name != "__text"])
-    return given.mapInArrow(_predictor(model), schema.add("lang_pred", "string").add("score", "double"))
+    return given.mapInArrow(_predictor(model), schema.add("lang_pred", "string").add("score", "double")
+                            .add("typical", "boolean"))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.2, text_col: str = "text",
-                    lang_col: str = "lang") -> DataFrame:
-    """``docs``, all columns, without documents in no language: no letters, or
-    a score that no language reaches. Learns from the rows with a language."""
+def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs``, all columns, without documents in no known language: no letters, or
+    a text that is not typical of the language nearest to it. Learns from the rows
+    with a language."""
     model = train(docs, F.lit(True), text_col, lang_col)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs[text_col].cast("string").alias("text"))
     found = identify(rows, model)
     if model is None:  # nothing to judge by: only texts without a letter go
         return found.filter(F.col("row")[text_col].rlike(r"\p{L}")).select("row.*")
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
+    return found.filter((F.col("lang_pred") != UNKNOWN) & F.col("typical")).select("row.*")
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

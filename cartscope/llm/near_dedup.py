@@ -329,12 +329,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with one document of each group: the row of its
-    smallest doc_id, once. Rows with a null doc_id stay."""
-    kept = near_duplicates(docs, shingle, percent, id_col, text_col).filter("kept AND doc_id IS NOT NULL")
-    ids = kept.select(F.col("doc_id").alias(id_col)).distinct()
-    one = docs.filter(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").dropDuplicates([id_col])
-    return one.unionByName(docs.filter(F.col(id_col).isNull()))
+    """``docs``, all columns, with one document of each group of near duplicates: the
+    row with its smallest id (a null id is the greatest; then the text's hash decides).
+
+    Texts, not ids, are grouped: rows that share an id but not a text are documents
+    each. Of rows with one text one is kept, unless the text has no word: such rows
+    are like nothing and all stay. Texts are told apart by 64-bit hashes (N of them are
+    confused N^2 / 2^65 times)."""
+    given = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = docs.select(given, docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"),
+                       F.xxhash64(docs[text_col].cast("string")).alias("tid"))
+    # rows of one text and id need no more than one line
+    ids = rows.select("id", "tid").distinct()
+    groups = (near_duplicates(rows.select("tid", "text"), shingle, percent, "tid", "text")
+              .filter("n_shingles > 0").select(F.col("doc_id").alias("tid"), "component_id").distinct())
+    # the best (id, text) of a component; of one text, only its best id can win
+    best = (ids.groupBy("tid").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tid")).alias("b"))
+            .join(groups, "tid").groupBy("component_id").agg(F.min("b").alias("b")))
+    chosen = best.select(F.col("b.tid").alias("tid"), F.col("b.id").alias("id"))
+    has_words = F.col("text").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    same_id = rows["id"].eqNullSafe(chosen["id"])
+    kept = (rows.filter(has_words).join(chosen, (rows["tid"] == chosen["tid"]) & same_id, "left_semi")
+            .dropDuplicates(["tid"]))
+    return kept.unionByName(rows.filter(~has_words)).select("row.*")
 
 
 def op3_minhash_dedup(spark, sf_dir: str) -> DataFrame:

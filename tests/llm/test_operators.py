@@ -148,7 +148,6 @@ def test_packing_round_trip(spark, rows):
     from tokenizers import Tokenizer
     import public_tokenizers
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     by_seq, texts = {}, {}
     for r in got:
         ids = np.frombuffer(r["ids"], "<u4")
