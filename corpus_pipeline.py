@@ -16,8 +16,8 @@ from cartscope.llm.common import read_documents, read_table, stage
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those without letters or whose language
-    nothing speaks for are rejected."""
+    """Documents in some language; those without letters, and those not typical of
+    any language the corpus is labelled with, are rejected."""
     return language_id.keep_identified(docs)
 
 
@@ -37,8 +37,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 1024 tokens."""
-    return packing.pack(docs)
+    """Pieces of sequences of 1024 tokens, with their ids."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
