@@ -205,14 +205,14 @@ def test_lm_training_reads_every_position_and_rare_rows_move_in_full():
     sums = {"class": zeros, "word": np.zeros(2 * lm_score.WORD_ROWS, np.float32)}
     model = lm_score.Model(len(t.hashes), 1, none, none.astype(np.int64), np.ones(k), np.ones(k), np.zeros(k), np.zeros((k, h + 1)),
                            np.zeros((len(zeros), k), np.float32), np.zeros((len(sums["word"]), h + 1), np.float32))
-    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([0] * len(texts), pa.int64())], names=["text", "shard"])
     sent = pa.Table.from_batches(lm_score._trainer(model, sums)([batch]))
     gain = np.concatenate([np.frombuffer(x, "<f4") for x in sent.column("gain").to_pylist()[:lm_score.DELTA_BLOCKS]])
     rows, _ = lm_score._features(*lm_score._history(t), t.classes)
     assert (gain[rows.ravel()] > 0).all()
     # a partition that met none of the rows does not shrink the change
     one = sent.slice(0, 1)
-    idle = pa.table({"block": one.column("block"),
+    idle = pa.table({"block": one.column("block"), "shard": one.column("shard"),
                      **{c: pa.array([bytes(len(one.column(c)[0].as_py()))], pa.binary()) for c in ("change", "gain")}})
     both = lm_score._averager("<f2")(pa.concat_tables([one.select(idle.schema.names).cast(idle.schema), idle]))
     got, want = (np.frombuffer(x.column("change")[0].as_py(), kind) for x, kind in ((both, "<f4"), (one, "<f2")))
@@ -220,6 +220,33 @@ def test_lm_training_reads_every_position_and_rare_rows_move_in_full():
     assert lm_score.rounds_for(64 << 30) > lm_score.rounds_for(1 << 30) > lm_score.rounds_for(1)
 
 
+def test_lm_update_adds_equal_rows_before_the_step():
+    rng = np.random.default_rng(4)
+    rows = np.stack([np.minimum(rng.zipf(1.3, 500), 60), 100 + rng.integers(0, 200, 500)])
+    grad = rng.normal(size=(500, 8)).astype(np.float32)
+    table, square = np.zeros((300, 8), np.float32), np.zeros(300, np.float32)
+    lm_score._update(table, square, rows, grad)
+    want = np.zeros((300, 8))
+    for line in rows:
+        for r, g in zip(line, grad):
+            want[r] += g
+    own = (want ** 2).sum(axis=1)
+    np.testing.assert_allclose(square, own, rtol=1e-4, atol=1e-5)
+    np.testing.assert_allclose(table, -lm_score.RATE * want / np.sqrt(own + 1)[:, None], rtol=1e-3, atol=1e-5)
+
+
+def test_lm_model_follows_the_rows_not_their_partitions_and_hot_ids_spread(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "TRAIN_BYTES", 4000)
+    monkeypatch.setattr(lm_score, "GROUP_BYTES", 6000)
+    rng = random.Random(8)
+    data = [(None if k % 3 == 0 else k, words(rng, 40), "en") for k in range(240)] + [(None, "a b", "en")] * 5
+    df = frame(spark, data)
+    train = F.coalesce(F.col("doc_id") % 5 != 1, F.lit(True))
+    got = [Counter((r["doc_id"], r["n_tokens"], r["score"]) for r in lm_score.score(d, train).collect())
+           for d in (df.repartition(1), df.repartition(16))]
+    assert got[0] == got[1] and got[0].total() == len(data)
+
+
 def test_languages(spark):
     rng = random.Random(1)
     voc = {"en": "the and with that from this which have", "de": "und der nicht eine mit auch werden über",
