@@ -5,11 +5,18 @@ non-ASCII bytes, lower-cased), hashed into ``2^BITS`` slots. The machine adds
 linear weights and pairwise interactions through ``FACTORS`` latent factors,
 so that two terms which are harmless apart can be toxic together.
 
-Which hashed terms it may use is decided by their document frequencies among
-*all* labelled training rows, counted in Spark: the ``TERMS`` with the
-strongest association to the label. Weights are fitted on a bounded sample of
-labelled rows (``SAMPLE`` of each label, drawn by a hash, weighted back to the
-true shares, so scores stay calibrated). Scoring reads every whole text.
+Every hashed term of the sample has a weight and factors, also one that tells
+nothing alone. Weights are fitted first, by Newton steps. The factors then start from the leading
+eigenvectors of the residuals' pair matrix (the sum over texts of residual times
+the products of their terms, diagonal left out), found by multiplying with the
+sparse rows, never formed: a random start is a saddle from which a pair among
+thousands of terms isn't found. Both then go on together in sparse mini-batches with
+Adagrad, for each of ``DECAYS``, and the state with the least loss on a held-back
+fifth is kept.
+
+The sample is bounded: ``SAMPLE`` rows of each label, the first by a hash of id
+and terms, weighted back to the true shares, so scores stay calibrated. It is
+fitted in one task. Scoring reads every whole text.
 
 Defined results: null or empty texts get the base score of a text without
 terms; without labels of both kinds the score is the share of label 1 (0 if
@@ -19,6 +26,7 @@ repeated rows and null ids are scored like any other; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,9 +37,14 @@ from pyspark.sql import functions as F
 from cartscope.llm.common import (NOT_ALNUM, as_binary, crc_mod, id_and_text, read_documents,
                                   read_table, ship_package, split_words, stage, text_chunks)
 
-BITS, TERMS, FACTORS = 18, 384, 8
+BITS, FACTORS = 18, 8
 SAMPLE = 4000
-STEPS, RATE, DECAY = 150, 0.05, 2e-4
+EPOCHS, PATIENCE, BATCH = 40, 5, 256
+RATE, FACTOR_RATE = 0.1, 0.15
+DECAYS = (1e-5, 1e-4, 1e-3)
+PULLS = (300.0, 100.0, 30.0, 10.0, 3.0, 1.0)
+NEWTON, CONJUGATE = 6, 12
+TURNS, START = 12, 0.5
 THRESHOLD = 0.3
 
 
@@ -54,17 +67,6 @@ def _labelled_terms(batches):
                 names=["doc_id", "label", "slots"])
 
 
-def _count_terms(batches):
-    """Document counts of each slot by label, added up over the partition."""
-    n = np.zeros((2, 1 << BITS), dtype=np.int64)
-    for batch in batches:
-        for label, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            n[label, np.frombuffer(raw, "<u4")] += 1
-    used = np.flatnonzero(n.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[0, used]), pa.array(n[1, used])],
-                                     names=["slot", "n0", "n1"])
-
-
 @dataclass
 class FactorizationMachine:
     place: np.ndarray  # slot -> feature, -1 for unused
@@ -75,39 +77,219 @@ class FactorizationMachine:
     def score(self, doc: np.ndarray, slot: np.ndarray, n_docs: int) -> np.ndarray:
         f = self.place[slot]
         doc, f = doc[f >= 0], f[f >= 0]
-        z = self.bias + np.bincount(doc, self.weights[f], minlength=n_docs)
-        for k in range(self.factors.shape[1]):
-            v = self.factors[f, k]
-            z += 0.5 * (np.bincount(doc, v, minlength=n_docs) ** 2 - np.bincount(doc, v * v, minlength=n_docs))
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+        own = self.weights - 0.5 * (self.factors ** 2).sum(axis=1)
+        z = self.bias + np.bincount(doc, own[f], minlength=n_docs)
+        for v in self.factors.T:
+            z += 0.5 * np.bincount(doc, v[f], minlength=n_docs) ** 2
+        return _sigmoid(z)
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+
+
+@dataclass
+class Rows:
+    """Sparse rows: row i has the features ``feature[cut[i]:cut[i + 1]]``, at least one."""
+    cut: np.ndarray
+    feature: np.ndarray
+    label: np.ndarray
+    weight: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.label)
+
+    def pick(self, rows: np.ndarray) -> Rows:
+        size = np.diff(self.cut)[rows]
+        cut = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(cut[-1]) + np.repeat(self.cut[rows] - cut[:-1], size)
+        return Rows(cut, self.feature[at], self.label[rows], self.weight[rows])
+
+    def row_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.cut))
+
+
+def _logits(x: Rows, bias: float, w: np.ndarray, v: np.ndarray):
+    got = v[x.feature]
+    sums = np.add.reduceat(got, x.cut[:-1], axis=0)
+    own = np.add.reduceat(w[x.feature] - 0.5 * np.einsum("ij,ij->i", got, got), x.cut[:-1])
+    return bias + own + 0.5 * np.einsum("ij,ij->i", sums, sums), sums, got
+
 
+def _loss(x: Rows, state) -> float:
+    z = np.clip(_logits(x, *state)[0], -40, 40)
+    return float((x.weight * (np.logaddexp(0, z) - x.label * z)).sum() / x.weight.sum())
 
-def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.einsum("ij,jk->ik", a, b)
 
+def _descend(x: Rows, held: Rows, state, decay: tuple[float, float], rng) -> tuple[float, np.ndarray, np.ndarray]:
+    """Adagrad over mini-batches; the state with the least loss on ``held``. ``decay``
+    pulls weights and factors towards 0."""
+    bias, w, v = state[0], state[1].copy(), state[2].copy()
+    sb, sw, sv = 1.0, np.full(len(w), 0.1), np.full(v.shape, 0.1)
+    pace = min(1.0, 12 * len(x) / x.cut[-1])  # all terms of a text move together
+    best, least, late = (bias, w.copy(), v.copy()), _loss(held, state), 0
+    for _ in range(EPOCHS):
+        for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // BATCH)):
+            b = x.pick(rows)
+            z, sums, got = _logits(b, bias, w, v)
+            err = b.weight * (_sigmoid(z) - b.label)
+            each = np.repeat(err, np.diff(b.cut))
+            order = np.argsort(b.feature, kind="stable")
+            f = b.feature[order]
+            head = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+            f = f[head]
+            gw = np.add.reduceat(each[order], head) + decay[0] * len(rows) * w[f]
+            sw[f] += gw * gw
+            w[f] -= pace * RATE * gw / np.sqrt(sw[f])
+            if v.shape[1]:
+                gv = each[:, None] * (np.repeat(sums, np.diff(b.cut), axis=0) - got)
+                gv = np.add.reduceat(gv[order], head, axis=0) + decay[1] * len(rows) * v[f]
+                sv[f] += gv * gv
+                v[f] -= pace * FACTOR_RATE * gv / np.sqrt(sv[f])
+            sb += err.sum() ** 2
+            bias -= pace * RATE * err.sum() / np.sqrt(sb)
+        loss = _loss(held, (bias, w, v))
+        if loss < least - 1e-6:
+            best, least, late = (bias, w.copy(), v.copy()), loss, 0
+        else:
+            late += 1
+            if late >= PATIENCE:
+                break
+    return best
 
-def fit_factors(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Weighted logistic loss, full-batch Adam steps."""
+
+def _fit_weights(x: Rows, held: Rows, bias: float, n: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weights by Newton steps (conjugate gradients, diagonal preconditioner) under a
+    pull towards 0 that falls along ``PULLS`` as long as the loss on ``held`` does. A
+    term is pulled less the more its rows of both labels differ in number."""
+    row, none = x.row_of(), np.zeros((n, 0))
+    n1 = max(x.label.sum(), 1.0)
+    n0 = max(len(x) - n1, 1.0)
+    with1 = np.bincount(x.feature, x.label[row], minlength=n)
+    times = np.bincount(x.feature, minlength=n)
+    share = (times + 1) / (len(x) + 2)
+    z = (with1 / n1 - (times - with1) / n0) / np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    ease = 4.0 / (z * z + 0.1)
+    theta = np.zeros(n + 1)  # the bias is last and is not pulled
+    theta[n] = bias
+
+    def down(u: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(x.feature, u[row], minlength=n), u.sum())
+
+    def logits(t: np.ndarray) -> np.ndarray:
+        return np.bincount(row, t[x.feature], minlength=len(x)) + t[n]
+
+    def cost(t: np.ndarray, pull: np.ndarray) -> float:
+        z = np.clip(logits(t), -40, 40)
+        return float((x.weight * (np.logaddexp(0, z) - x.label * z)).sum() + 0.5 * (pull * t * t).sum())
+
+    best, least = (bias, theta[:n].copy(), none), _loss(held, (bias, theta[:n], none))
+    for strength in PULLS:
+        pull = np.append(strength * ease, 1e-6)
+        for _ in range(NEWTON):
+            p = _sigmoid(logits(theta))
+            grad = down(x.weight * (p - x.label)) + pull * theta
+            bend = x.weight * p * (1 - p)
+            diagonal = down(bend) + pull
+            step, r = np.zeros(n + 1), -grad
+            y = r / diagonal
+            d, ry = y, r @ y
+            for _ in range(CONJUGATE):
+                hd = down(bend * logits(d)) + pull * d
+                a = ry / max(d @ hd, 1e-300)
+                step, r = step + a * d, r - a * hd
+                y = r / diagonal
+                ry, old = r @ y, ry
+                d = y + ry / max(old, 1e-300) * d
+            now, size = cost(theta, pull), 1.0
+            while size > 1e-3 and cost(theta + size * step, pull) > now:
+                size /= 2
+            theta = theta + size * step
+            if np.abs(size * step).max() < 1e-2:
+                break
+        state = (float(theta[n]), theta[:n].copy(), none)
+        loss = _loss(held, state)
+        if loss >= least:
+            break
+        best, least = state, loss
+    return best
+
+
+def _leading(x: Rows, err: np.ndarray, scale: np.ndarray, count: int, rng) -> np.ndarray:
+    """The ``count`` leading positive eigenvectors, rescaled, of the pair matrix of ``err``."""
+    n, row = len(scale), x.row_of()
+    own = np.bincount(x.feature, err[row], minlength=n) * scale ** 2
+
+    def times_pairs(q: np.ndarray) -> np.ndarray:
+        out = np.empty_like(q)
+        for k in range(q.shape[1]):
+            r = np.bincount(row, (scale * q[:, k])[x.feature], minlength=len(x)) * err
+            out[:, k] = np.bincount(x.feature, r[row], minlength=n) * scale - own * q[:, k]
+        return out
+
+    q = np.linalg.qr(rng.normal(size=(n, min(n, 2 * count))))[0]
+    for _ in range(TURNS):
+        q = np.linalg.qr(times_pairs(q))[0]
+    size, turn = np.linalg.eigh(q.T @ times_pairs(q))
+    some = np.argsort(-size)[:count]
+    some = some[size[some] > 0]
+    return (q @ turn[:, some]) * scale[:, None] * np.sqrt(size[some])
+
+
+def _start_factors(x: Rows, state, factors: int, rng) -> np.ndarray:
+    """Leading positive eigenvectors of the residuals' pair matrix: half of them as it
+    is, where frequent terms lead, half with every term made equally frequent."""
+    n = len(state[1])
+    err = x.weight * (x.label - _sigmoid(_logits(x, *state)[0])) / np.diff(x.cut)
+    times = np.bincount(x.feature, minlength=n)
+    some = times > 2  # terms of one or two rows can't tell a pair
+    v, k = rng.normal(0, 0.01, (n, factors)), 0
+    for scale in (some * 1.0, some / np.sqrt(np.maximum(times, 1))):
+        lead = _leading(x, err, scale, factors // 2, rng)
+        for part in lead.T:
+            # a single factor changes the logits by START or so
+            alone = _logits(x, 0.0, np.zeros(n), part[:, None])[0]
+            v[:, k] += part * np.sqrt(START / max(np.sqrt((alone ** 2).mean()), 1e-12))
+            k += 1
+    return v
+
+
+def fit_rows(x: Rows, n_features: int, factors: int = FACTORS) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted logistic loss; without factors a linear model."""
     rng = np.random.default_rng(5)
-    rate = float(np.clip((weight * y).sum() / weight.sum(), 1e-4, 1 - 1e-4))
-    theta = [np.array([np.log(rate / (1 - rate))]), np.zeros(x.shape[1]),
-             rng.normal(0, 0.05, (x.shape[1], FACTORS))]
-    m, v = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-    weight = weight / weight.sum()
-    xt = np.ascontiguousarray(x.T)
-    for step in range(1, STEPS + 1):
-        b, w, f = theta
-        xf = _times(x, f)
-        z = b[0] + np.einsum("ij,j->i", x, w) + 0.5 * ((xf ** 2).sum(axis=1) - np.einsum("ij,j->i", x, (f * f).sum(axis=1)))
-        err = weight * (1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))) - y)
-        gw = np.einsum("ij,j->i", xt, err)
-        grads = [np.array([err.sum()]), gw + DECAY * w,
-                 _times(xt, err[:, None] * xf) - gw[:, None] * f + DECAY * f]
-        for k in range(3):
-            m[k] = 0.9 * m[k] + 0.1 * grads[k]
-            v[k] = 0.999 * v[k] + 0.001 * grads[k] ** 2
-            theta[k] = theta[k] - RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-    return float(theta[0][0]), theta[1], theta[2]
+    x.weight = x.weight / x.weight.mean()
+    rate = float(np.clip((x.weight * x.label).sum() / x.weight.sum(), 1e-4, 1 - 1e-4))
+    turn = rng.permutation(len(x))
+    held, rest = x.pick(turn[:len(x) // 5]), x.pick(turn[len(x) // 5:])
+    if len(set(held.label)) < 2:  # too few rows to hold any back
+        held = rest = x
+    state = _fit_weights(rest, held, float(np.log(rate / (1 - rate))), n_features)
+    if not factors:
+        return state
+    start = (state[0], state[1], _start_factors(rest, state, factors, rng))
+    found = min((_descend(rest, held, start, (d, d), rng) for d in DECAYS), key=lambda f: _loss(held, f))
+    if _loss(held, found) < _loss(held, state):
+        return found
+    return state[0], state[1], np.zeros((n_features, factors))
+
+
+def _fit(table: pa.Table) -> pa.Table:
+    """The machine of a sample ``label, slots, weight``, as bytes."""
+    got = sorted(zip(table.column("slots").to_pylist(), table.column("label").to_pylist(),
+                     table.column("weight").to_pylist()))  # rows arrive in any order
+    got = [g for g in got if g[0]]
+    model = None
+    if got:
+        size = np.array([len(g[0]) // 4 for g in got])
+        slots = np.frombuffer(b"".join(g[0] for g in got), "<u4")
+        used, feature = np.unique(slots, return_inverse=True)
+        rows = Rows(np.concatenate([[0], np.cumsum(size)]), feature, np.array([g[1] for g in got], dtype=np.float64),
+                    np.array([g[2] for g in got], dtype=np.float64))
+        bias, w, v = fit_rows(rows, len(used))
+        place = np.full(1 << BITS, -1, dtype=np.int32)
+        place[used] = np.arange(len(used))
+        model = FactorizationMachine(place, bias, w, v.astype(np.float32))
+    return pa.table({"model": as_binary([pickle.dumps(model)])})
 
 
 def train(docs: DataFrame, labels: DataFrame, is_training: Column, id_col: str = "doc_id",
@@ -126,28 +308,10 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column, id_col: str =
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         return float(n1 > 0)
-    counts = (rows.select("label", "slots").mapInArrow(_count_terms, "slot long, n0 long, n1 long")
-              .groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    p0, p1 = F.col("n0") / n0, F.col("n1") / n1
-    p = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
-    z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
-    best = [r["slot"] for r in counts.select("slot", z.alias("z")).orderBy(F.desc("z"), "slot").limit(TERMS).collect()]
-    place = np.full(1 << BITS, -1, dtype=np.int16)
-    place[best] = np.arange(len(best))
-
-    share = {0: min(1.0, SAMPLE / n0), 1: min(1.0, SAMPLE / n1)}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.when(
-        F.col("label") == 1, share[1]).otherwise(share[0]) * 1_000_000
-    got = rows.filter(draw).select("label", "slots").toArrow()  # about 2 * SAMPLE rows
-    y = np.array(got.column("label").to_pylist(), dtype=np.float64)
-    if not len(y):
-        return n1 / (n0 + n1)
-    x = np.zeros((len(y), len(best)))
-    for r, raw in enumerate(got.column("slots").to_pylist()):
-        f = place[np.frombuffer(raw, "<u4")]
-        x[r, f[f >= 0]] = 1.0
-    bias, w, f = fit_factors(x, y, np.where(y > 0, 1 / share[1], 1 / share[0]))
-    return FactorizationMachine(place, bias, w, f)
+    first = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id", "slots"), "doc_id").limit(SAMPLE)
+             .select("label", "slots", F.lit(n / min(n, SAMPLE)).alias("weight")) for k, n in ((0, n0), (1, n1))]
+    got = first[0].unionAll(first[1]).groupBy().applyInArrow(_fit, "model binary").first()  # 2 * SAMPLE rows
+    return pickle.loads(bytes(got["model"])) or n1 / (n0 + n1)
 
 
 def _scorer(model):
