@@ -14,9 +14,9 @@ thousands of terms isn't found. Both then go on together in sparse mini-batches
 Adagrad, for each of ``DECAYS``, and the state with the least loss on a held-back
 fifth is kept.
 
-The sample is bounded: ``SAMPLE`` rows of each label, the first by a hash of id
-and terms, weighted back to the true shares, so scores stay calibrated. It is
-fitted in one task. Scoring reads every whole text.
+The sample is bounded: of each label at most ``SAMPLE`` rows, the first by a hash of
+the id, a repeated id once, weighted back to the true shares, so scores stay
+calibrated. It is fitted in one task. Scoring reads every whole text.
 
 Defined results: null or empty texts get the base score of a text without
 terms; without labels of both kinds the score is the share of label 1 (0 if
@@ -274,9 +274,11 @@ def fit_rows(x: Rows, n_features: int, factors: int = FACTORS) -> tuple[float, n
 
 
 def _fit(table: pa.Table) -> pa.Table:
-    """The machine of a sample ``label, slots, weight``, as bytes."""
-    got = sorted(zip(table.column("slots").to_pylist(), table.column("label").to_pylist(),
-                     table.column("weight").to_pylist()))  # rows arrive in any order
+    """The machine of a sample ``label, slots, rows``, as bytes; ``rows`` is how many the label has."""
+    label = table.column("label").to_pylist()
+    drawn = {k: label.count(k) for k in (0, 1)}
+    got = sorted((s, k, n / drawn[k]) for s, k, n in zip(table.column("slots").to_pylist(), label,
+                                                         table.column("rows").to_pylist()))  # they arrive in any order
     got = [g for g in got if g[0]]
     model = None
     if got:
@@ -308,10 +310,14 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column, id_col: str =
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         return float(n1 > 0)
-    first = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id", "slots"), "doc_id").limit(SAMPLE)
-             .select("label", "slots", F.lit(n / min(n, SAMPLE)).alias("weight")) for k, n in ((0, n0), (1, n1))]
-    got = first[0].unionAll(first[1]).groupBy().applyInArrow(_fit, "model binary").first()  # 2 * SAMPLE rows
-    return pickle.loads(bytes(got["model"])) or n1 / (n0 + n1)
+    # twice the sample by a hash of the id, repeated ids once, then its first rows: what
+    # meets in one task follows SAMPLE, not the number of partitions
+    key = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+    first = [rows.filter((F.col("label") == k) & (key < F.lit(int(min(1.0, 2 * SAMPLE / n) * (1 << 53)))))
+             .groupBy("doc_id").agg(F.min("slots").alias("slots")).orderBy(key, "doc_id").limit(SAMPLE)
+             .select(F.lit(k).alias("label"), "slots", F.lit(n).alias("rows")) for k, n in ((0, n0), (1, n1))]
+    got = first[0].unionAll(first[1]).groupBy().applyInArrow(_fit, "model binary").first()
+    return (got and pickle.loads(bytes(got["model"]))) or n1 / (n0 + n1)
 
 
 def _scorer(model):
