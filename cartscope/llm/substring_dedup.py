@@ -6,7 +6,7 @@ in; every later document removes the words its repeated windows cover, merged
 into maximal intervals.
 
 How it is spread. Documents are dealt into groups of some megabytes by a hash
-of their id. A group sends each *distinct* window hash once, with its smallest
+of their id, text and partition. A group sends each *distinct* window hash once, with its smallest
 document: a passage that a third of all documents share costs a group one
 entry, not one per document. Hash buckets find the smallest document of the
 corpus and answer a group only for hashes that an earlier document of another
@@ -212,7 +212,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
     base = id_and_text(docs, id_col, text_col)
     total = text_bytes(base)
     groups, buckets = groups_for(total, group_bytes), groups_for(total, bucket_bytes)
-    dealt = base.withColumn("gid", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    # not by the id alone: a third of the rows may share one, or have none
+    dealt = base.withColumn("gid", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(groups)))
     sent = dealt.groupBy("gid").applyInArrow(
         _sender(size, buckets), "bucket long, gid long, docs binary, counts binary, hashes binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "gid long, bucket long, hashes binary")
