@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartscope.llm.common import (NOT_ALNUM, groups_for, id_and_text, read_documents, read_table,
-                                  ship_package, split_words, text_bytes, text_chunks)
+                                  ship_package, split_words, text_bytes, text_chunks, text_column, text_of)
 
 RATE = 0.2
 ROUNDS, SAMPLES = 64, 4
@@ -59,6 +59,8 @@ ROUNDS, SAMPLES = 64, 4
 #: the first words meet more often; every fourth round reads over the shortest item.
 NEAR = 48
 BLOCK_BYTES = 32 << 20
+#: Bytes of text searched at once; some dozen numbers are held for each of its words.
+HIT_BYTES = 2 << 20
 # read beyond the end of a text, and for a word that no item has
 _END, _OTHER = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 
@@ -337,7 +339,7 @@ def _hits(texts: pa.Array, vocabulary: Vocabulary, classes: list[ItemClass], rat
     """Yield ``(row, item_id, distance, start, stop, item_words)``: the nearest
     window of each contaminated row and item."""
     table = _part_table(classes)
-    for i, _, data, off in text_chunks(texts):
+    for i, _, data, off in text_chunks(texts, HIT_BYTES):
         words = split_words(data, off, True, NOT_ALNUM)
         if not len(words.hashes):
             continue
@@ -371,11 +373,11 @@ def _finder(vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
     return find
 
 
-def _cleaner(vocabulary: Vocabulary, classes: list[ItemClass], rate: float):
+def _cleaner(vocabulary: Vocabulary, classes: list[ItemClass], rate: float, text_col: str):
     def clean(batches):
         for batch in batches:
             good = np.ones(len(batch), dtype=bool)
-            for hit in _hits(batch.column(1), vocabulary, classes, rate):
+            for hit in _hits(text_of(batch, text_col), vocabulary, classes, rate):
                 good[hit[0]] = False
             yield batch.filter(pa.array(good))
     return clean
@@ -414,10 +416,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, t
                     block_bytes: int = BLOCK_BYTES, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` without the contaminated rows, all columns; no shuffle."""
     ship_package(docs.sparkSession)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       docs[text_col].cast("string").alias("text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *text_column(docs, text_col))
     for vocabulary, classes in _blocks(benchmark, block_bytes, rounds, rate):
-        rows = rows.mapInArrow(_cleaner(vocabulary, classes, rate), rows.schema)
+        rows = rows.mapInArrow(_cleaner(vocabulary, classes, rate, text_col), rows.schema)
     return rows.select("row.*")
 
 

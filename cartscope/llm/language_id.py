@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartscope.llm.common import crc_mod, read_documents, ship_package, text_chunks
+from cartscope.llm.common import crc_mod, read_documents, ship_package, text_chunks, text_column, text_of
 
 PER_LANGUAGE = 1500
 DIM = 2048
@@ -242,10 +242,11 @@ def train(docs: DataFrame, is_training: Column, text_col: str = "text", lang_col
     return pickle.loads(bytes(got["model"])) if got else None
 
 
-def _predictor(model: LanguageModel | None):
+def _predictor(model: LanguageModel | None, inside: str | None = None):
+    """``inside`` names the text's field in ``row`` where it has no column of its own."""
     def predict(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text"))
+            texts = text_of(batch, inside)
             lang, score, typical = [], [], []
             for i, j, data, off in text_chunks(texts):
                 blob = data.tobytes()
@@ -274,12 +275,18 @@ def identify(rows: DataFrame, model: LanguageModel | None, text_col: str = "text
     """``rows`` with ``lang_pred``, ``score`` and ``typical`` added (columns of these
     names are replaced)."""
     ship_package(rows.sparkSession)
-    added = ("lang_pred", "score", "typical")
-    keep = [c for c in rows.columns if c not in (*added, "__text")]
-    given = rows.select(*keep, rows[text_col].cast("string").alias("__text"))
+    keep = [c for c in rows.columns if c not in (*dict(ADDED), "__text")]
+    return _with_added(rows.select(*keep, rows[text_col].cast("string").alias("__text")), _predictor(model))
+
+
+ADDED = (("lang_pred", "string"), ("score", "double"), ("typical", "boolean"))
+
+
+def _with_added(given: DataFrame, predictor) -> DataFrame:
     schema = StructType([f for f in given.schema if f.name != "__text"])
-    return given.mapInArrow(_predictor(model), schema.add("lang_pred", "string").add("score", "double")
-                            .add("typical", "boolean"))
+    for name, kind in ADDED:
+        schema = schema.add(name, kind)
+    return given.mapInArrow(predictor, schema)
 
 
 def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -287,9 +294,8 @@ def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     a text that is not typical of the language nearest to it. Learns from the rows
     with a language."""
     model = train(docs, F.lit(True), text_col, lang_col)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       docs[text_col].cast("string").alias("text"))
-    found = identify(rows, model)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *text_column(docs, text_col))
+    found = _with_added(rows, _predictor(model, text_col))
     if model is None:  # nothing to judge by: only texts without a letter go
         return found.filter(F.col("row")[text_col].rlike(r"\p{L}")).select("row.*")
     return found.filter((F.col("lang_pred") != UNKNOWN) & F.col("typical")).select("row.*")
