@@ -25,10 +25,11 @@ def write_flat_staging(orders: DataFrame, items: DataFrame, dest: str,
     """Write both flat outputs (NDJSON by default, or Parquet).
 
     NDJSON rows keep explicit nulls out (Spark omits null fields); the reader
-    (``sources.payload.read_flat_staging``) restores them from the schema.
+    (``sources.payload.read_flat_staging``) restores them from the schema. NDJSON is
+    compressed, as every row repeats the keys: one file for each task that wrote.
     """
     paths = {"orders": f"{dest}/orders", "order_items": f"{dest}/order_items"}
     for table, df in (("orders", orders), ("order_items", items)):
         w = df.write.mode("overwrite")
-        (w.json(paths[table]) if fmt == "json" else w.parquet(paths[table]))
+        (w.json(paths[table], compression="gzip") if fmt == "json" else w.parquet(paths[table]))
     return paths

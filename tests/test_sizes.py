@@ -37,3 +37,13 @@ def test_sorted_tables_and_staged_rows_are_written_as_zstd(spark, write_docs):
     assert _names(path, ".zstd.parquet") and not _names(path, ".snappy.parquet")
     staged = stage_landing(spark, write_docs([{"orders": [_order(1)]}]), multi_line=True)
     assert _names(staged.path, ".zstd.parquet") and not _names(staged.path, ".snappy.parquet")
+
+
+def test_flat_staging_is_compressed_and_reads_back_whole(spark, write_docs):
+    flat = flatten(P.read_orders_payload(spark, write_docs([{"orders": [_order(1), _order(2, products=0)]}]),
+                                         multi_line=True, mode="lenient"))
+    paths = sink_files.write_flat_staging(flat.orders, flat.items, scratch_path(spark, "sizes"))
+    for table, want in (("orders", flat.orders), ("order_items", flat.items)):
+        assert _names(paths[table], ".json.gz") and not _names(paths[table], ".json")
+        got = P.read_flat_staging(spark, paths[table], table)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
