@@ -47,3 +47,15 @@ def test_flat_staging_is_compressed_and_reads_back_whole(spark, write_docs):
         assert _names(paths[table], ".json.gz") and not _names(paths[table], ".json")
         got = P.read_flat_staging(spark, paths[table], table)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_counts_of_odd_documents(spark, write_docs):
+    docs = [{"orders": [_order(1), 5, _order(2)], "total_orders": 9}, [_order(3)], {"orders": []}, {"orders": "x"},
+            {"total_orders": 2}, _order(4), []]
+    seen = stage_landing(spark, write_docs(docs), multi_line=True).seen
+    whole = read_deliveries(spark, write_docs(docs), multi_line=True)
+    plain = P.payload_summary(whole, with_timestamp=False).first()
+    assert (seen["documents"], seen["found"], seen["claimed"]) == (
+        plain["documents"], plain["order_count"], plain["total_orders"])
+    assert (seen["unreadable"], seen["orders_accepted"], seen["orders_rejected"]) == (1, 4, 1)
+    assert (seen["items_found"], seen["items_accepted"], seen["items_rejected"]) == (8, 8, 0)
