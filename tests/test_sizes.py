@@ -59,3 +59,21 @@ def test_counts_of_odd_documents(spark, write_docs):
         plain["documents"], plain["order_count"], plain["total_orders"])
     assert (seen["unreadable"], seen["orders_accepted"], seen["orders_rejected"]) == (1, 4, 1)
     assert (seen["items_found"], seen["items_accepted"], seen["items_rejected"]) == (8, 8, 0)
+
+
+def test_a_merge_joins_what_it_keeps_with_the_delivery_once(spark, write_docs, monkeypatch):
+    dest = scratch_path(spark, "sizes")
+    loads.load_version(spark, write_docs([{"orders": [_order(i) for i in range(1, 6)]}]), dest, multi_line=True)
+    delivery = stage_landing(spark, write_docs([{"orders": [_order(3, hour=9, products=1)]}]), multi_line=True)
+    actions = []
+    write = loads.write_sorted
+    monkeypatch.setattr(loads, "write_sorted", lambda df, *a, **k: (actions.append(
+        df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a, **k))[1])
+    done = loads.merge_version(spark, delivery, dest)
+    assert len(actions) == 2 and not any("Join" in plan for plan in actions)
+    orders = versions.read_table(spark, dest, "orders", done.version)
+    items = versions.read_table(spark, dest, "order_items", done.version)
+    assert sorted((r["order_id"], r["order_hour_of_day"]) for r in orders.collect()) == [
+        (1, 5), (2, 5), (3, 9), (4, 5), (5, 5)]
+    assert items.count() == 9 and items.filter("order_id = 3").count() == 1
+    assert all(r["ok"] for r in done.ledger.collect())
