@@ -1,7 +1,9 @@
 """The payload landing: dealt once, written compressed, nothing lost on odd rows."""
 
 import json
+import re
 
+from cartscope import session
 from cartscope.schema import ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA
 from cartscope.session import scratch_path
 from cartscope.sources import payload_fixture as fixture
@@ -71,3 +73,19 @@ def test_dirty_values_and_nulls_stay_in_the_text(spark):
     assert got[1]["products"][0]["product_name"] is None and got[1]["days_since_prior_order"] is None
     assert list(got[1]["products"][0]) == ["product_id", "product_name", "aisle_id", "aisle", "department_id",
                                            "department", "add_to_cart_order", "reordered"]
+
+
+def test_documents_are_dealt_into_tasks_that_fit_memory(spark, monkeypatch):
+    mb = 1 << 20
+    monkeypatch.setattr(fixture, "ensure_warehouse", lambda *_: "any")
+    monkeypatch.setattr(session, "input_bytes", lambda *_: 700 * mb)
+    parts = fixture.deal_count(spark, "any")
+    # 50 bytes of memory a compressed byte, in tasks of at most 200 MB
+    assert 700 * mb / parts * 50 <= 200 * mb
+    tables = _tables(spark, [_order(1), _order(2001)], [_item(1), _item(2001)])
+    docs = fixture.payload_documents(*tables, parts=parts)
+    docs.collect()
+    assert f"hashpartitioning(doc_id, {parts})" in re.sub(
+        r"#\d+L?", "", docs._jdf.queryExecution().executedPlan().toString())
+    assert sorted(r["value"] for r in docs.collect()) == sorted(
+        r["value"] for r in fixture.payload_documents(*tables).collect())
