@@ -216,13 +216,17 @@ def _relabel(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
-    spread = (members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-              .filter("lo <> hi").select("bucket"))
+    """Members of buckets that hold more than one component, with their bucket's size
+    ``n`` and its largest component ``main``, by one join. A bucket of two is left
+    out: the first star round has compared its only pair."""
+    spread = (members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"),
+                                     F.count(F.lit(1)).alias("labels"))
+              .filter("labels > 1 AND n > 2").drop("labels"))
     return members.join(spread, "bucket")
 
 
-def _blocks(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of mixed buckets, dealt into cells of two blocks.
 
     A bucket's largest component is apart: its members need to meet only the
@@ -231,12 +235,12 @@ def _blocks(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     block of the largest component with one of the others; a bucket that fits
     a block is one cell. Every pair of members of different components is in
     exactly one cell of the bucket."""
-    sizes = mixed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    size = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
-            .select("bucket", (F.col("n") <= BLOCK).alias("small"), F.col("main.label").alias("main_label"),
-                    F.ceil(F.col("main.n") / F.lit(BLOCK)).cast("int").alias("main_blocks"),
-                    F.ceil((F.col("n") - F.col("main.n")) / F.lit(BLOCK)).cast("int").alias("blocks")))
-    in_main = F.col("label") == F.col("main_label")
+    sized = _mixed(members).select(
+        "bucket", "band", "class_id", "label", (F.col("n") <= BLOCK).alias("small"),
+        (F.col("label") == F.col("main.label")).alias("in_main"),
+        F.ceil(F.col("main.n") / F.lit(BLOCK)).cast("int").alias("main_blocks"),
+        F.ceil((F.col("n") - F.col("main.n")) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    in_main = F.col("in_main")
 
     def cells(blocks: str, cell) -> Column:
         return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda b: F.struct(
@@ -248,7 +252,7 @@ def _blocks(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     to_main = cells("main_blocks", lambda b: (-1 - b, own, F.lit(1)))
     of_main = cells("blocks", lambda b: (-1 - own, b, F.lit(2)))
     whole = cells("blocks", lambda b: (b, b, F.lit(3)))  # of a small bucket: its one block
-    rest = (mixed.join(classes.select("class_id", "n_shingles", "sig"), "class_id").join(size, "bucket")
+    rest = (sized.join(classes.select("class_id", "n_shingles", "sig"), "class_id")
             .withColumn("own", F.pmod(F.xxhash64("class_id"), F.when(in_main, F.col("main_blocks"))
                                       .otherwise(F.col("blocks"))).cast("int"))
             .withColumn("cell", F.explode(
@@ -291,7 +295,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     tested = None
     members = buckets.withColumn("label", F.col("class_id"))
     for t in range(STAR_ROUNDS):
-        mixed = members if t == 0 else _mixed(members)
+        # read twice: for the centres and for the pairs
+        mixed = members if t == 0 else stage(_mixed(members), "mixed")
         luck = F.xxhash64("class_id") if t == 0 else F.xxhash64(F.lit(t), "bucket", "class_id")
         centre = mixed.groupBy("bucket").agg(F.min(F.struct(
             luck.alias("r"), F.col("class_id").alias("c"), F.col("label").alias("cl"))).alias("m"))
@@ -306,11 +311,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         members = stage(_relabel(buckets, links), "members")
 
     block = ("bucket", "bi", "bj")
-    near = _blocks(_mixed(members), classes).groupBy(*block).applyInArrow(_nearest(percent), "a long, b long")
+    near = _blocks(members, classes).groupBy(*block).applyInArrow(_nearest(percent), "a long, b long")
     pairs = stage(near.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
     links = stage(links.unionByName(_confirm(pairs, sets, percent)), "links")
     members = stage(_relabel(buckets, links), "members")
-    rest = _blocks(_mixed(members), classes)
+    rest = _blocks(members, classes)
     active = rest.groupBy(*block).applyInArrow(_active(percent), rest.schema)
     found = (active.join(sets, "class_id").groupBy(*block)
              .applyInArrow(_exact_links(percent), "u long, v long"))

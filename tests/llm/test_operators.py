@@ -137,6 +137,16 @@ def test_blocks_hold_each_pair_of_different_components_once(spark, monkeypatch):
     assert max(len(v) for k, v in cells.items() if k[0] == 2) == 3
 
 
+def test_a_bucket_is_joined_once_and_one_of_two_not_again(spark):
+    rows = [(1, 0, 1, 1), (1, 0, 2, 2), (2, 1, 3, 3), (2, 1, 4, 4), (2, 1, 5, 4), (3, 2, 6, 6), (3, 2, 7, 6), (3, 2, 8, 6)]
+    members = spark.createDataFrame(rows, "bucket long, band int, class_id long, label long")
+    classes = spark.createDataFrame([(r[2], 9, b"") for r in rows], "class_id long, n_shingles long, sig binary")
+    blocks = near_dedup._blocks(members, classes)
+    assert sorted(r["class_id"] for r in blocks.collect()) == [3, 4, 5]
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join Inner, \(bucket", plan)) == 1
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 130)] + [(5, 5), (200, 7)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
