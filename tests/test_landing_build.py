@@ -89,3 +89,9 @@ def test_documents_are_dealt_into_tasks_that_fit_memory(spark, monkeypatch):
         r"#\d+L?", "", docs._jdf.queryExecution().executedPlan().toString())
     assert sorted(r["value"] for r in docs.collect()) == sorted(
         r["value"] for r in fixture.payload_documents(*tables).collect())
+
+
+def test_a_sorted_file_leaves_memory_for_the_other_tasks(spark, monkeypatch):
+    gb = 1 << 30
+    monkeypatch.setattr(session, "input_bytes", lambda *_: 3 * gb)
+    assert 3 * gb / session.file_count(spark, ["any"]) * 36 <= 0.4 * gb
